@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from lexloom.llm import bpe
 from lexloom.llm.repetition import repetition_rules
 
-_WORD = r"[^\x20\x09-\x0D]+"
-
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -20,9 +18,16 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_docs(spark, sf_dir))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition": op1_repetition,
+        "op8_bpe": op8_bpe,
     }
 
 
