@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe
+from lexloom.llm import bpe, rans
 from lexloom.llm.repetition import repetition_rules
 
 
@@ -24,10 +24,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return rans.read_tokens(spark, rans.write_tokens(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition": op1_repetition,
         "op8_bpe": op8_bpe,
+        "op9_rans": op9_rans,
     }
 
 
