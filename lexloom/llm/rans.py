@@ -23,6 +23,7 @@ not read. An empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.llm import shared as S
+from lexloom.llm.bpe import byte_characters
 
 MAGIC = b"LXRANS01"
 PRECISION = 20
@@ -121,8 +123,12 @@ def decode_block(data: memoryview, at: int, slots, freq, start, half: int | None
 
 
 def write_file(keys: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
-    symbols, numbers, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    freq = scaled(counts).astype(np.uint64)
+    tally = np.bincount(ids)
+    symbols = np.flatnonzero(tally)
+    number_of = np.zeros(len(tally), dtype=np.uint32)
+    number_of[symbols] = np.arange(len(symbols), dtype=np.uint32)
+    numbers = number_of[ids]
+    freq = scaled(tally[symbols]).astype(np.uint64)
     start = np.concatenate(([0], np.cumsum(freq)[:-1])).astype(np.uint64)
     blocks = []
     for i in range(0, len(ids), BLOCK_IDS):
@@ -167,9 +173,15 @@ class Encoder(dict):
     """Chunks between ASCII white space to the bytes of their ids; each chunk is encoded by the library.
 
     The vocabulary drops white space, and neither its normalizer nor its splitting looks
-    across a blank, so a text's ids are those of its chunks, one after another.
+    across a blank, so a text's ids are those of its chunks, one after another. Punctuation
+    after letters is split off by the vocabulary too, and letters are lowered one by one;
+    so a chunk of common Latin letters, which no normal form changes, goes straight to the
+    library's merge model, in the byte-level characters that model works on.
     """
 
+    # Latin letters up to U+017F without U+0130, whose lower case is two characters; punctuation without the apostrophe
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
+
     def __init__(self, content: str):
         super().__init__()
         from tokenizers import Tokenizer
@@ -177,9 +189,22 @@ class Encoder(dict):
         self.library = Tokenizer.from_str(content)
         self.library.no_truncation()
         self.library.no_padding()
+        self.merge = self.library.model.tokenize
+        self.shown = {b: ord(c) for b, c in enumerate(byte_characters())}
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = np.array(self.library.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        text = chunk.decode()
+        plain = self.PLAIN(text)
+        if plain is None:
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            word, marks = plain.groups()
+            lower = word.lower().encode()
+            if marks or lower != chunk:
+                ids = self[lower] + (self[marks.encode()] if marks else b"")
+            else:
+                tokens = self.merge(chunk.decode("latin-1").translate(self.shown))
+                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         if len(chunk) <= CACHED_BYTES:
             if len(self) >= CACHED_CHUNKS:
                 self.clear()
@@ -197,8 +222,9 @@ def _check_vocabulary(content: str) -> None:
     kinds = [x["type"] for x in (described["normalizer"] or {}).get("normalizers", [])]
     splits = (described["pre_tokenizer"] or {}).get("pretokenizers", [])
     drops = bool(splits) and splits[0]["type"] == "Split" and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and not splits[-1].get("add_prefix_space")
-    if set(kinds) - {"NFC", "Replace", "Lowercase"} or not drops:
-        raise ValueError("this vocabulary may look across white space; its texts can't be encoded in chunks")
+    letters = drops and r"[\p{L}]+" in splits[0]["pattern"].get("Regex", "") and splits[-1]["type"] == "ByteLevel"
+    if kinds != ["NFC", "Replace", "Lowercase"] or not letters:
+        raise ValueError("this vocabulary may look across white space or not split letters off; its texts can't be encoded in chunks")
 
 
 _ENCODERS: dict[int, Encoder] = {}

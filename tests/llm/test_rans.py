@@ -47,6 +47,8 @@ def test_against_the_library(spark, monkeypatch):
     marks = ["word", "É", "é", "x's", "<|endoftext|>", "\x1c", "\u0085", " ", "Σ", "İ", "日本", "'ll", "12", "‍", "́"]
     texts = [None, "", " \n", "a", "<|startoftext|>x", "w " * 100_000]
     texts += ["".join(rng.choice(marks) + rng.choice(["", " ", "\n", "\t\x0b\x0c\r"]) for _ in range(rng.randint(1, 60))) for _ in range(300)]
+    letters = "abcdeEOTn.,!'éÉßöÑ" + "".join(map(chr, range(0xC0, 0x180)))
+    texts += ["".join(rng.choice(letters + "     ") for _ in range(80)) for _ in range(300)]
     rows = [(rng.randrange(-500, 500), t, "x") for t in texts] + [(None, "null key", "y"), (None, None, "y")]
     rows += rows[5:9]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string")
