@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, mixing, rans
+from lexloom.llm import bpe, mixing, pii, rans
 from lexloom.llm.repetition import repetition_rules
 
 
@@ -18,6 +18,10 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_docs(spark, sf_dir))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_docs(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -37,6 +41,7 @@ def op9_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition": op1_repetition,
+        "op3_pii": op3_pii,
         "op7_mixing": op7_mixing,
         "op8_bpe": op8_bpe,
         "op9_rans": op9_rans,
