@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, mixing, pii, rans
+from lexloom.llm import bpe, jaccard, mixing, pii, rans
 from lexloom.llm.repetition import repetition_rules
 
 
@@ -22,6 +22,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_docs(spark, sf_dir))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_docs(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition": op1_repetition,
         "op3_pii": op3_pii,
+        "op6_jaccard": op6_jaccard,
         "op7_mixing": op7_mixing,
         "op8_bpe": op8_bpe,
         "op9_rans": op9_rans,
