@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, jaccard, mixing, pii, rans
+from lexloom.llm import bpe, jaccard, langid, mixing, pii, rans
 from lexloom.llm.repetition import repetition_rules
 
 
@@ -22,6 +22,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_docs(spark, sf_dir))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_docs(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_docs(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
@@ -46,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition": op1_repetition,
         "op3_pii": op3_pii,
+        "op5_langid": op5_langid,
         "op6_jaccard": op6_jaccard,
         "op7_mixing": op7_mixing,
         "op8_bpe": op8_bpe,
