@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, jaccard, langid, mixing, pii, rans
+from lexloom.llm import bitslice, bpe, jaccard, langid, mixing, pii, rans
 from lexloom.llm.repetition import repetition_rules
 
 
@@ -18,6 +18,10 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_docs(spark, sf_dir))
 
 
+def op2_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_docs(spark, sf_dir))
 
@@ -49,6 +53,7 @@ def op9_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition": op1_repetition,
+        "op2_bitslice": op2_bitslice,
         "op3_pii": op3_pii,
         "op5_langid": op5_langid,
         "op6_jaccard": op6_jaccard,
@@ -60,5 +65,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_bitslice": bitslice.SQL,
         "op7_mixing": mixing.SQL,
     }
