@@ -11,9 +11,9 @@ Texts with equal shingle sets form a class; everything below works on classes.
 3. Intersecting the filters. Classes that share a prefix token with another class under
    the first order go on, of these those that share one under the second, and so on.
    The groups are the shared tokens of the first order among the classes left; in a group
-   two classes are candidates if they also share prefix tokens under every other order, if
-   their sizes allow a link, and if parities of their shingles' hashes don't already show
-   too large a difference.
+   two classes are candidates if their sizes allow a link, and if the parities of their
+   shingles' hashes don't already show too large a difference. A candidate pair must share
+   a prefix token under every other order too before its sets are compared.
 4. A group doesn't emit its pairs, only a spanning forest of its candidates, so a group of
    m near copies gives m - 1 edges. Large groups are cut into blocks, and each pair of
    blocks is a group.
@@ -53,7 +53,8 @@ LEAST_LEVEL, MOST_POPULAR = 4, 1 << 21
 BITMAP_BITS = 25
 #: Classes in a group that is gone through at once.
 BLOCK = 1024
-SKETCH = "doc_id long, n long, c binary, sig binary, p1 binary, p2 binary, p3 binary"
+#: Edges up to which they are broadcast to the sets they need, in about 1 MB.
+FEW_EDGES = 20_000
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
@@ -176,34 +177,62 @@ def signature_bits(n: int) -> int:
     return 1 << max(9, int(n - 1).bit_length())
 
 
-def sketch(s: np.ndarray, popular: np.ndarray) -> tuple[bytes, bytes, list[bytes]]:
-    """A set's class name, the parities of its hashes, and its prefix under each order."""
-    n = len(s)
-    bits = signature_bits(n)
+def class_name(s: np.ndarray) -> bytes:
+    """128 bits that stand for a set."""
+    with np.errstate(over="ignore"):
+        return np.array([S.mix(s ^ SEEDS[1]).sum(dtype=np.uint64) + np.uint64(len(s)), S.mix(s ^ SEEDS[2]).sum(dtype=np.uint64)], dtype="<u8").tobytes()
+
+
+def parities(s: np.ndarray) -> bytes:
+    bits = signature_bits(len(s))
     odd = np.bincount((S.mix(s ^ SEEDS[0]) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    last = _has(popular, _place(s)).astype(np.uint64) << np.uint64(63)
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def prefix(s: np.ndarray, popular: np.ndarray, order: int) -> bytes:
+    """The tokens that linked sets must share one of, under one of the orders."""
+    n = len(s)
     length = n - -(-TENTHS * n // 10) + 1
-    prefixes = []
-    for seed in SEEDS:
-        order = (S.mix(s + seed) >> np.uint64(1)) | last
-        first = np.argpartition(order, length - 1)[:length] if length < n else slice(None)
-        prefixes.append(s[first].astype("<u8").tobytes())
-    return class_name(s), np.packbits(odd.astype(np.uint8), bitorder="little").tobytes(), prefixes
+    if length >= n:
+        return s.astype("<u8").tobytes()
+    last = _has(popular, _place(s)).astype(np.uint64) << np.uint64(63)
+    rank = (S.mix(s + SEEDS[order - 1]) >> np.uint64(1)) | last
+    return s[np.argpartition(rank, length - 1)[:length]].astype("<u8").tobytes()
 
 
-def sketches(rows: DataFrame, popular: np.ndarray) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(popular)  # 4 MB, whatever the data
+def sketches(rows: DataFrame, popular) -> DataFrame:
+    """(doc_id, n, c, p1) of every text: its number of shingles, class and prefix under the first order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in S.slices(batch.column(1)):
                 sets = shingles(data, offsets)
-                made = [sketch(s, shared.value) if len(s) else (None, None, [None] * ORDERS) for s in sets]
-                columns = [batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), *[pa.array([m[k] for m in made], pa.binary()) for k in (0, 1)]]
-                columns += [pa.array([m[2][k] for m in made], pa.binary()) for k in range(ORDERS)]
-                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SKETCH.split(", ")])
+                names = [class_name(s) if len(s) else None for s in sets]
+                first = [prefix(s, popular.value, 1) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array(first, pa.binary())], ["doc_id", "n", "c", "p1"])
 
-    return rows.mapInArrow(run, SKETCH)
+    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, c binary, p1 binary")
+
+
+def whole_sets(rows: DataFrame, wanted: DataFrame, popular) -> DataFrame:
+    """The classes in ``wanted`` (c, doc_id), one row each, made again from their texts: sizes, parities, the other orders' prefixes, and all shingles."""
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS)
+    keep = rows.sparkSession.sparkContext.broadcast(_bits_set(wanted.select(place.alias("pos"))))  # 4 MB, whatever the data
+    others = range(2, ORDERS + 1)
+    names = ["c", "n", "sig", *[f"p{k}" for k in others], "s"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(_has(keep.value, batch.column(1).to_numpy().astype(np.uint64))))
+            for _, _, data, offsets in S.slices(batch.column(0)):
+                sets = [s for s in shingles(data, offsets) if len(s)]
+                cells = [[class_name(s) for s in sets], [len(s) for s in sets], [parities(s) for s in sets]]
+                cells += [[prefix(s, popular.value, k) for s in sets] for k in others] + [[s.astype("<u8").tobytes() for s in sets]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64() if name == "n" else pa.binary()) for name, x in zip(names, cells)], names)
+
+    schema = ", ".join(f"{x} {'long' if x == 'n' else 'binary'}" for x in names)
+    made = rows.select("text", place.alias("pos")).mapInArrow(run, schema).dropDuplicates(["c"])
+    return S.stored(made.join(wanted.select("c"), "c", "left_semi"), "jaccard-sets")
 
 
 def _shared_tokens(sketched: DataFrame, prefix: str) -> DataFrame:
@@ -238,10 +267,9 @@ def _most_apart(n, m):
 class Group:
     """The classes that share a prefix token, with what tells candidates among them."""
 
-    def __init__(self, names: list[bytes], n: np.ndarray, sigs: list[bytes], prefixes: list[list[bytes]], parities: bool = True):
+    def __init__(self, names: list[bytes], n: np.ndarray, sigs: list[bytes], parities: bool = True):
         self.names, self.n, self.parities = names, n, parities
         self.sigs = [np.frombuffer(s, "<u8") for s in sigs]
-        self.sets = [[frozenset(np.frombuffer(x, "<u4").tolist()) for x in p] for p in prefixes]
         self.by_bits: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         lengths = np.array([len(s) for s in self.sigs])
         for k in np.unique(lengths):
@@ -267,7 +295,7 @@ class Group:
                 theirs = theirs[:, : k // 2] ^ theirs[:, k // 2 :]
             apart = np.bitwise_count(theirs ^ own).sum(axis=1)
             found += at[some[apart <= _most_apart(self.n[at[some]], self.n[x])]].tolist()
-        return [y for y in found if y != x and not any(a[x].isdisjoint(a[y]) for a in self.sets)]
+        return [y for y in found if y != x]
 
 
 def _forest(g: Group, labels: list) -> list[tuple[int, int]]:
@@ -295,7 +323,7 @@ def _across(g: Group, labels: list) -> list[tuple[int, int]]:
 
 
 def _group_edges(grouped: DataFrame, choose, parities: bool) -> DataFrame:
-    """(tok, b, u, v) of what ``choose`` takes of each group; grouped: tok, b, c, n, sig, p2, p3, root, dealt and sorted by tok and b."""
+    """(tok, b, u, v) of what ``choose`` takes of each group; grouped: tok, b, c, n, sig, root, dealt and sorted by tok and b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -306,11 +334,10 @@ def _group_edges(grouped: DataFrame, choose, parities: bool) -> DataFrame:
             cuts = [0, *cuts.tolist(), len(toks)]
             names, n, sigs, roots = (table.column(x).to_pylist() for x in ("c", "n", "sig", "root"))
             n = np.array(n, dtype=np.int64)
-            others = [table.column(f"p{k}").to_pylist() for k in range(2, ORDERS + 1)]
             out: list[tuple] = []
             for i, j in zip(cuts, cuts[1:]):
                 if j - i > 1:
-                    g = Group(names[i:j], n[i:j], sigs[i:j], [p[i:j] for p in others], parities)
+                    g = Group(names[i:j], n[i:j], sigs[i:j], parities)
                     out += [(int(toks[i]), int(bs[i]), *sorted((names[i + x], names[i + y]))) for x, y in choose(g, roots[i:j])]
             t, b, u, v = zip(*out) if out else ((), (), (), ())
             return pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(b, pa.int64()), pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["tok", "b", "u", "v"])
@@ -341,20 +368,29 @@ def _blocks(posted: DataFrame) -> DataFrame:
 
 
 def _verify(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v, linked) by exact intersection."""
+    """(u, v, linked): the pairs that share prefix tokens under every other order, by exact intersection."""
+    others = [f"p{k}" for k in range(2, ORDERS + 1)]
+    width = len(others) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(10 * both >= TENTHS * (len(x) + len(y) - both))
+            for row in zip(*(c.to_pylist() for c in batch.columns[2:])):
+                a, b = ([np.frombuffer(x, "<u8") for x in half] for half in (row[:width], row[width:]))
+                if all(len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a[:-1], b[:-1])):
+                    both = len(np.intersect1d(a[-1], b[-1], assume_unique=True))
+                    linked.append(10 * both >= TENTHS * (len(a[-1]) + len(b[-1]) - both))
+                else:
+                    linked.append(False)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["u", "v", "linked"])
 
-    left = edges.join(sets.select(F.col("c").alias("u"), F.col("s").alias("su")), "u")
-    both = left.join(sets.select(F.col("c").alias("v"), F.col("s").alias("sv")), "v")
-    return S.durable(both.select("u", "v", "su", "sv").mapInArrow(run, "u binary, v binary, linked boolean"))
+    # few edges go to the sets, many meet them in a shuffle
+    few = edges.limit(FEW_EDGES + 1).count() <= FEW_EDGES
+    some = F.broadcast(edges) if few else edges
+    halves = [some.join(sets.select(F.col("c").alias(end), *[F.col(x).alias(x + end) for x in [*others, "s"]]), end) for end in ("u", "v")]
+    met = halves[0].join(halves[1], ["u", "v"])
+    columns = [x + end for end in ("u", "v") for x in [*others, "s"]]
+    return S.durable(met.select("u", "v", *columns).mapInArrow(run, "u binary, v binary, linked boolean"))
 
 
 def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -365,88 +401,49 @@ def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return roots.filter(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select(*edges.columns)
 
 
-def _class_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, s): the whole sets of the classes in ``wanted`` (c, doc_id), made again from the texts."""
-    spark = rows.sparkSession
-    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS)
-    keep = spark.sparkContext.broadcast(_bits_set(wanted.select(place.alias("pos"))))  # 4 MB, whatever the data
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.array(_has(keep.value, batch.column(2).to_numpy().astype(np.uint64))))
-            for _, _, data, offsets in S.slices(batch.column(1)):
-                sets = [s for s in shingles(data, offsets) if len(s)]
-                names = [class_name(s) for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["c", "s"])
-
-    made = rows.select("doc_id", "text", place.alias("pos")).mapInArrow(run, "c binary, s binary")
-    return S.stored(made.join(wanted.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"]), "jaccard-sets")
-
-
-def class_name(s: np.ndarray) -> bytes:
-    with np.errstate(over="ignore"):
-        return np.array([S.mix(s ^ SEEDS[1]).sum(dtype=np.uint64) + np.uint64(len(s)), S.mix(s ^ SEEDS[2]).sum(dtype=np.uint64)], dtype="<u8").tobytes()
-
-
-def class_links(rows: DataFrame, sketched: DataFrame, parities: bool = True) -> DataFrame:
+def class_links(rows: DataFrame, sketched: DataFrame, popular, parities: bool = True) -> DataFrame:
     """(u, v): links between classes that connect whatever any links connect."""
     posted = S.durable(_shared_tokens(sketched, "p1"))
-    live = sketched.join(posted.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"])
-    live = S.stored(live, "jaccard-live")
+    wanted = sketched.groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(posted.select("c").distinct(), "c", "left_semi")
+    live = whole_sets(rows, S.durable(wanted), popular)
+    alive = live.select("c")
     for k in range(2, ORDERS + 1):
-        others = _shared_tokens(live, f"p{k}").select("c").distinct()
-        live = live.join(others, "c", "left_semi")
-    live = S.stored(live, "jaccard-live")
-    # in a group, 32 bits of a token do: a collision only adds a candidate
-    payload = _halved(live)
-    left = posted.select("tok", "c").join(live.select("c"), "c", "left_semi")
+        shared = _shared_tokens(live.select("c", f"p{k}").join(alive, "c", "left_semi"), f"p{k}")
+        alive = S.durable(shared.select("c").distinct())
+    left = posted.select("tok", "c").join(alive, "c", "left_semi")
     left = left.withColumn("k", F.count("*").over(Window.partitionBy("tok"))).filter(F.col("k") > 1)
     blocks = S.durable(_blocks(left))
+    payload = live.select("c", "n", "sig")
 
     def groups(of: DataFrame, labels: DataFrame | None) -> DataFrame:
         full = of.join(payload, "c")
-        full = full.join(labels.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")) if labels is not None else full.withColumn("root", F.col("c"))
+        full = full.join(labels.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")) if labels is not None else full.withColumn("root", F.lit(None).cast("binary"))
         return full.repartition("tok", "b").sortWithinPartitions("tok", "b", "n", "c")
 
     emitted = S.durable(_group_edges(groups(blocks, None), _forest, parities))
     edges = S.durable(emitted.select("u", "v").distinct())
-    sets = _class_sets(rows, edges.select(F.col("u").alias("c")).unionByName(edges.select(F.col("v").alias("c"))).distinct().join(live.select("c", "doc_id"), "c"))
     # one edge for each class first; most others then lie inside a component
-    first = edges.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    checked = _verify(first, sets)
-    labels = connected_components(checked.filter("linked").select("u", "v"))
-    more = _between(edges.join(checked, ["u", "v"], "left_anti"), labels)
-    checked = S.durable(checked.unionByName(_verify(more, sets)))
+    first = S.durable(edges.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+    checked = _verify(first, live)
     labels = connected_components(checked.filter("linked").select("u", "v"))
+    more = S.durable(_between(edges.join(checked, ["u", "v"], "left_anti"), labels))
+    if not more.isEmpty():
+        checked = S.durable(checked.unionByName(_verify(more, live)))
+        labels = connected_components(checked.filter("linked").select("u", "v"))
     failed = S.durable(_between(checked.filter(~F.col("linked")).select("u", "v"), labels))
-    if failed.isEmpty():
-        return checked.filter("linked").select("u", "v")
-    again = emitted.join(failed, ["u", "v"], "left_semi").select("tok", "b").distinct()
-    across = _group_edges(groups(blocks.join(again, ["tok", "b"], "left_semi"), labels), _across, parities).select("u", "v").distinct()
-    across = S.durable(across.join(checked, ["u", "v"], "left_anti"))
-    missing = across.select(F.col("u").alias("c")).unionByName(across.select(F.col("v").alias("c"))).distinct().join(sets.select("c"), "c", "left_anti")
-    if not missing.isEmpty():
-        sets = sets.unionByName(_class_sets(rows, missing.join(live.select("c", "doc_id"), "c")))
-    return checked.unionByName(_verify(across, sets)).filter("linked").select("u", "v")
-
-
-def _halved(live: DataFrame) -> DataFrame:
-    """What a group needs of each class: sizes, parities, and the other orders' prefixes cut to 32 bits a token."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cut = [pa.array([np.frombuffer(x, "<u8").astype("<u4").tobytes() for x in batch.column(3 + k).to_pylist()], pa.binary()) for k in range(ORDERS - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cut], ["c", "n", "sig", *[f"p{k}" for k in range(2, ORDERS + 1)]])
-
-    others = [f"p{k}" for k in range(2, ORDERS + 1)]
-    return live.select("c", "n", "sig", *others).mapInArrow(run, "c binary, n long, sig binary, " + ", ".join(f"{p} binary" for p in others))
+    if not failed.isEmpty():
+        again = emitted.join(failed, ["u", "v"], "left_semi").select("tok", "b").distinct()
+        across = _group_edges(groups(blocks.join(again, ["tok", "b"], "left_semi"), labels), _across, parities).select("u", "v").distinct()
+        checked = checked.unionByName(_verify(S.durable(across.join(checked, ["u", "v"], "left_anti")), live))
+    return checked.filter("linked").select("u", "v")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", parities: bool = True) -> DataFrame:
     """(doc_id, n_shingles, class, component_id) of every document. parities: False leaves that filter out, with the same result."""
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    sketched = S.stored(sketches(rows, popular_shingles(rows)), "jaccard-sketches")
-    links = class_links(rows, sketched.filter("c is not null"), parities)
+    popular = docs.sparkSession.sparkContext.broadcast(popular_shingles(rows))  # 4 MB, whatever the data
+    sketched = S.stored(sketches(rows, popular), "jaccard-sketches")
+    links = class_links(rows, sketched.filter("c is not null"), popular, parities)
     labels = connected_components(links)
     narrow = sketched.select("doc_id", "n", "c")
     classes = narrow.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("class_id"))
