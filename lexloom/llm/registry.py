@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bitslice, bpe, jaccard, langid, mixing, pii, rans
+from lexloom.llm import bitslice, bpe, jaccard, langid, mixing, pii, rans, sitequality
 from lexloom.llm.repetition import repetition_rules
 
 
@@ -26,6 +26,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_docs(spark, sf_dir))
 
 
+def op4_sitequality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitequality.quality(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_docs(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_repetition": op1_repetition,
         "op2_bitslice": op2_bitslice,
         "op3_pii": op3_pii,
+        "op4_sitequality": op4_sitequality,
         "op5_langid": op5_langid,
         "op6_jaccard": op6_jaccard,
         "op7_mixing": op7_mixing,
