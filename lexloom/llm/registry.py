@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bitslice, bpe, jaccard, langid, mixing, pii, rans, sitequality
+from lexloom.llm import bitslice, bpe, jaccard, langid, licenses, mixing, pii, rans, sitequality
 from lexloom.llm.repetition import repetition_rules
 
 
@@ -54,6 +54,10 @@ def op9_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_tokens(spark, rans.write_tokens(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition": op1_repetition,
@@ -65,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_mixing": op7_mixing,
         "op8_bpe": op8_bpe,
         "op9_rans": op9_rans,
+        "op10_licenses": op10_licenses,
     }
 
 
