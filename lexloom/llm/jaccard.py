@@ -2,11 +2,12 @@
 
 Texts with equal shingle sets form a class; everything below works on classes.
 
-1. Popular shingles. All shingles are counted by 32 bits of their hash, packed as sorted
-   differences; those above a count go into a bitmap of fixed size. It only shapes the
-   token orders, so neither collisions nor its threshold can change the result.
-2. Token orders. Under each of ORDERS orders, unpopular shingles come first, then by a hash
-   of the order's own. If two sets are linked, they share a token among the first
+1. Common shingles. All shingles are counted by 32 bits of their hash, packed as sorted
+   differences; those that repeat, and those that repeat often, go into bitmaps of fixed
+   size. They only shape the token orders, so neither collisions nor thresholds can change
+   the result.
+2. Token orders. Under each of ORDERS orders, shingles that don't repeat come first, then
+   those that don't often; within these levels they go by a hash of the order's own. If two sets are linked, they share a token among the first
    n - ceil(0.9 n) + 1 of each, under every order.
 3. Intersecting the filters. Classes that share a prefix token with another class under
    the first order go on, of these those that share one under the second, and so on.
@@ -33,6 +34,7 @@ its ids are null. Columns other than key and text are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,9 +50,10 @@ SHINGLE = 3
 TENTHS = 9
 ORDERS = 3
 SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0xA4093822299F31D0)]
-#: A shingle is popular from 2 ** LEAST_LEVEL occurrences on, or a higher power of 2 if more than MOST_POPULAR would be.
-LEAST_LEVEL, MOST_POPULAR = 4, 1 << 21
-BITMAP_BITS = 25
+BITMAP_BITS = 26
+#: A shingle is common from 2 occurrences on, or a higher power of 2 if more than MOST_COMMON would be,
+#: and popular from 2 ** POPULAR on. The bitmap need only leave each text some shingles that aren't in it.
+MOST_COMMON, POPULAR = int(0.8 * (1 << BITMAP_BITS)), 4
 #: Classes in a group that is gone through at once.
 BLOCK = 1024
 #: Edges up to which they are broadcast to the sets they need, in about 1 MB.
@@ -117,10 +120,10 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def popular_shingles(rows: DataFrame) -> np.ndarray:
-    """The bitmap of popular shingles of all texts (a table of text)."""
+    """Two bitmaps, of the common and of the popular shingles of all texts (a table of text)."""
     spark = rows.sparkSession
-    buckets = max(64, S.shuffle_width(spark))
-    step = -(-(1 << 32) // buckets)
+    buckets = 1 << max(6, (S.shuffle_width(spark) - 1).bit_length())
+    step, bits = (1 << 32) // buckets, (1 << BITMAP_BITS) // buckets
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
@@ -142,32 +145,47 @@ def popular_shingles(rows: DataFrame) -> np.ndarray:
         if total:
             yield packed()
 
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(bucket: int, parts: list[bytes]) -> pa.RecordBatch:
-            values = np.sort(np.concatenate([_unpack(p) for p in parts])) + bucket * step
+    def by_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each bucket and power of 2, the shingles that occur so often, as a piece of a bitmap."""
+
+        def pieces(bucket: int, parts: list[bytes]) -> pa.RecordBatch:
+            values = np.sort(np.concatenate([_unpack(p) for p in parts]))
             kinds = np.flatnonzero(np.diff(values, prepend=-1))
-            counts = np.diff(np.append(kinds, len(values)))
-            often = counts >= 1 << LEAST_LEVEL
-            return pa.RecordBatch.from_arrays([pa.array(values[kinds[often]] >> (32 - BITMAP_BITS)), pa.array(np.log2(counts[often]).astype(np.int32))], ["pos", "level"])
+            level = np.log2(np.diff(np.append(kinds, len(values)))).astype(np.int32)
+            out = []
+            for k in np.unique(level[level > 0]).tolist():
+                mine = np.zeros(bits, dtype=bool)
+                mine[values[kinds[level == k]] >> (32 - BITMAP_BITS)] = True
+                out.append((bucket, k, int((level == k).sum()), zlib.compress(np.packbits(mine, bitorder="little").tobytes(), 1)))
+            columns = zip(*out) if out else ((), (), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["bucket", "level", "n", "piece"])
 
         now, parts = None, []
         for batch in batches:
             for bucket, gaps in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if bucket != now and parts:
-                    yield found(now, parts)
+                    yield pieces(now, parts)
                     parts = []
                 now = bucket
                 parts.append(gaps)
         if parts:
-            yield found(now, parts)
+            yield pieces(now, parts)
 
     packed_rows = rows.select("text").mapInArrow(count, "bucket int, gaps binary")
-    levels = S.durable(packed_rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(frequent, "pos long, level int"))
-    by_level = {r[0]: r[1] for r in levels.groupBy("level").count().collect()}  # at most 64 rows
-    level = LEAST_LEVEL
-    while sum(n for k, n in by_level.items() if k >= level) > MOST_POPULAR:
-        level += 1
-    return _bits_set(levels.filter(F.col("level") >= level).select("pos"))
+    levels = S.durable(packed_rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(by_level, "bucket int, level int, n long, piece binary"))
+    known = {r[0]: r[1] for r in levels.groupBy("level").agg(F.sum("n")).collect()}  # at most 31 rows
+    common = 1
+    while sum(n for k, n in known.items() if k >= common) > MOST_COMMON:
+        common += 1
+    popular = max(POPULAR, common + 1)
+    out = np.zeros((2, 1 << (BITMAP_BITS - 3)), dtype=np.uint8)
+    for r in levels.filter(F.col("level") >= common).toLocalIterator():  # a bitmap's size for each level
+        piece = np.frombuffer(zlib.decompress(r["piece"]), dtype=np.uint8)
+        at = slice(r["bucket"] * bits // 8, (r["bucket"] + 1) * bits // 8)
+        for k, least in enumerate((common, popular)):
+            if r["level"] >= least:
+                out[k, at] |= piece
+    return out.view(np.uint64)
 
 
 # ---------------------------------------------------------------- sketches
@@ -195,8 +213,9 @@ def prefix(s: np.ndarray, popular: np.ndarray, order: int) -> bytes:
     length = n - -(-TENTHS * n // 10) + 1
     if length >= n:
         return s.astype("<u8").tobytes()
-    last = _has(popular, _place(s)).astype(np.uint64) << np.uint64(63)
-    rank = (S.mix(s + SEEDS[order - 1]) >> np.uint64(1)) | last
+    place = _place(s)
+    level = _has(popular[0], place).astype(np.uint64) + _has(popular[1], place).astype(np.uint64)
+    rank = (S.mix(s + SEEDS[order - 1]) >> np.uint64(2)) | level << np.uint64(62)
     return s[np.argpartition(rank, length - 1)[:length]].astype("<u8").tobytes()
 
 
@@ -217,7 +236,7 @@ def sketches(rows: DataFrame, popular) -> DataFrame:
 def whole_sets(rows: DataFrame, wanted: DataFrame, popular) -> DataFrame:
     """The classes in ``wanted`` (c, doc_id), one row each, made again from their texts: sizes, parities, the other orders' prefixes, and all shingles."""
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS)
-    keep = rows.sparkSession.sparkContext.broadcast(_bits_set(wanted.select(place.alias("pos"))))  # 4 MB, whatever the data
+    keep = rows.sparkSession.sparkContext.broadcast(_bits_set(wanted.select(place.alias("pos"))))  # 8 MB, whatever the data
     others = range(2, ORDERS + 1)
     names = ["c", "n", "sig", *[f"p{k}" for k in others], "s"]
 
@@ -441,7 +460,7 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, parities: bool =
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", parities: bool = True) -> DataFrame:
     """(doc_id, n_shingles, class, component_id) of every document. parities: False leaves that filter out, with the same result."""
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    popular = docs.sparkSession.sparkContext.broadcast(popular_shingles(rows))  # 4 MB, whatever the data
+    popular = docs.sparkSession.sparkContext.broadcast(popular_shingles(rows))  # 16 MB, whatever the data
     sketched = S.stored(sketches(rows, popular), "jaccard-sketches")
     links = class_links(rows, sketched.filter("c is not null"), popular, parities)
     labels = connected_components(links)

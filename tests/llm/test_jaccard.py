@@ -70,7 +70,6 @@ def corpus(seed):
 def test_against_brute_force(spark, monkeypatch):
     for seed, block in ((1, 1024), (2, 8)):
         monkeypatch.setattr(jaccard, "BLOCK", block)
-        monkeypatch.setattr(jaccard, "LEAST_LEVEL", 3)
         rows = corpus(seed)
         docs = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], "doc_id long, text string, c string, n int")
         got = jaccard.jaccard_components(docs).collect()
