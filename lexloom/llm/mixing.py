@@ -33,10 +33,11 @@ PER_RANGE = 20_000
 LEAST_DIGITS = 2
 
 
-def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, source, size, rnd): the narrow rows everything else works on, written once."""
+def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", row: Column | None = None) -> DataFrame:
+    """(row, doc_id, source, size, rnd): the narrow rows everything else works on, written once."""
     rnd = F.md5(F.coalesce(docs[key].cast("string"), F.lit("")).cast("binary"))
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[source].cast("string").alias("source"), S.word_count(docs[text].cast("string")).alias("size"), rnd.alias("rnd"))
+    number = (F.lit(0) if row is None else row).cast("long").alias("row")
+    return docs.select(number, docs[key].cast("long").alias("doc_id"), docs[source].cast("string").alias("source"), S.word_count(docs[text].cast("string")).alias("size"), rnd.alias("rnd"))
 
 
 def running(df: DataFrame, order: list[Column], value: str, group: int = 4096) -> DataFrame:
@@ -77,13 +78,13 @@ def targets(narrow: DataFrame) -> DataFrame:
     return both.select("source", "source_size", target.alias("target"), "n_rows")
 
 
-def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, full, part) of every document.
+def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", row: Column | None = None) -> DataFrame:
+    """(row, doc_id, source, size, source_size, target, taken, full, part) of every document; row: a number to carry along.
 
     taken = full * size + part: the epochs that take the whole document, and the words that
     the last, broken epoch takes of it.
     """
-    narrow = S.durable(sizes(docs, key, text, source))
+    narrow = S.durable(sizes(docs, key, text, source, row))
     # a short table of sources: joined by broadcast if Spark finds it small, else by a join that splits hot sources
     goals = S.durable(targets(narrow))
     most = goals.agg(F.max("n_rows")).first()[0] or 0
@@ -95,10 +96,10 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("of_ranges"))
     sums = sums.join(goals, sums["source"].eqNullSafe(goals["source"])).select(sums["source"], "range", "of_ranges", "source_size", "target")
-    inside = Window.partitionBy("source", "range").orderBy("rnd", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("rnd", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     rows = placed.withColumn("in_range", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     same = rows["source"].eqNullSafe(sums["source"]) & (rows["range"] == sums["range"])
-    rows = rows.join(sums, same).select("doc_id", rows["source"], "size", "source_size", "target", (F.col("of_ranges") + F.col("in_range")).alias("before"))
+    rows = rows.join(sums, same).select("row", "doc_id", rows["source"], "size", "source_size", "target", (F.col("of_ranges") + F.col("in_range")).alias("before"))
     budget = F.floor("target")
     full = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     part = F.greatest(F.lit(0), F.least(F.col("size"), budget - full * F.col("source_size") - F.col("before"))).cast("long")
@@ -106,6 +107,31 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     return rows.withColumn("taken", F.col("full") * F.col("size") + F.col("part")).drop("before")
 
 
+#: Stands after each word while a text is cut.
+CUT = "\x01\x02cut\x02\x01"
+
+
+def take(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars") -> DataFrame:
+    """The mixture: each document once for each epoch that takes it whole, and the one on a source's cut up to the last word taken.
+
+    Rows are numbered and written down first, so ids may be missing or repeat. A column
+    named as ``length`` follows a cut text.
+    """
+    packed = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    numbered = S.stored(packed, "mixing-rows")
+    flat = numbered.select("row", *[F.col("doc")[c].alias(n) for c, n in ((key, "doc_id"), (text, "text"), (source, "source"))])
+    goals = mix_sources(flat, row=flat["row"]).filter(F.col("taken") > 0).select("row", "size", "full", "part")
+    copies = numbered.join(goals, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("full") + (F.col("part") > 0).cast("long")).cast("int"))))
+    words = F.col("doc")[text]
+    marked = F.regexp_replace(words, f"({S.WORD_PATTERN})", f"$1{CUT}")
+    # size words carry a mark each, so there is always one after the last word taken
+    cut = F.replace(F.call_function("substring_index", marked, F.lit(CUT), F.col("part").cast("int")), F.lit(CUT), F.lit(""))
+    now = F.when((F.col("copy") <= F.col("full")) | (F.col("part") == F.col("size")), words).otherwise(cut)
+    made = copies.select("doc", now.alias("now"))
+    columns = [F.col("now").alias(c) if c == text else F.length("now").cast(docs.schema[c].dataType).alias(c) if c == length else F.col("doc")[c].alias(c) for c in docs.columns]
+    return made.select(*columns)
+
+
 SQL = r"""
 WITH d AS (SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS BIGINT) AS size,
                   md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS rnd FROM documents),

@@ -90,10 +90,15 @@ def _marked(text: Column, pattern: str) -> Column:
     return F.transform(pieces, piece)
 
 
-def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row for each document: its key, and for each pattern the marked pieces (null where nothing can match)."""
+def scan(docs: DataFrame, key: str, text: str, carry: bool = False) -> DataFrame:
+    """One row for each document: its key, and for each pattern the marked pieces (null where nothing can match).
+
+    carry: instead of the key, the whole row as ``row``.
+    """
     clean = F.translate(F.coalesce(docs[text].cast("string"), F.lit("")), MARK, INSTEAD)
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), clean.alias("text"))
+    head = F.struct(*[docs[c] for c in docs.columns]).alias("row") if carry else docs[key].cast("long").alias("doc_id")
+    rows = docs.select(head, clean.alias("text"))
+    first = "row" if carry else "doc_id"
     columns = []
     for kind, pattern in PATTERNS.items():
         value = _marked(F.col("text"), pattern)
@@ -101,8 +106,8 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     any_weaker = "|".join(f"(?:{p})" for p in WEAKER.values())
     columns.append(_marked(F.col("text"), any_weaker).alias("weaker"))
     # pieces without a match say nothing
-    some = rows.select("doc_id", *columns)
-    return some.select("doc_id", *[F.when(F.size(c) > 1, F.col(c)).alias(c) for c in [*PATTERNS, "weaker"]])
+    some = rows.select(first, *columns)
+    return some.select(first, *[F.when(F.size(c) > 1, F.col(c)).alias(c) for c in [*PATTERNS, "weaker"]])
 
 
 def _placed(column: str) -> Column:
@@ -186,7 +191,8 @@ def _candidate(kind: str, x: Column, base: bool) -> Column:
 
 def candidates(scanned: DataFrame) -> DataFrame:
     """(doc_id, c): all candidates of each document, base kinds first, each kind by start."""
-    placed = scanned.select("doc_id", *[F.when(F.col(c).isNotNull(), _placed(c)).alias(c) for c in [*PATTERNS, "weaker"]])
+    first = scanned.columns[0]
+    placed = scanned.select(first, *[F.when(F.col(c).isNotNull(), _placed(c)).alias(c) for c in [*PATTERNS, "weaker"]])
     empty = "array<struct<kind:string,s:int,e:int,base:boolean,v1:int,v2:int,v3:int,v4:int,f1:int,f2:int,f3:int>>"
 
     def described(spans: Column, kind: str, base: bool) -> Column:
@@ -200,7 +206,7 @@ def candidates(scanned: DataFrame) -> DataFrame:
         return F.filter(F.col("weaker"), lambda x: x["m"].rlike(form))
 
     found += [described(of(whole[k]), k, False) for k in WEAKER]
-    return placed.select("doc_id", F.concat(*found).alias("c"))
+    return placed.select(first, F.concat(*found).alias("c"))
 
 
 # ---------------------------------------------------------------- the label model, on grouped counts
@@ -267,28 +273,59 @@ def span_classifier(counts: list[tuple]) -> dict[str, float]:
     return weights
 
 
-def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, found): each document's base spans and the added ones that the classifier accepts.
-
-    found: array of (kind, s, e, base), by kind as listed in KINDS, then start.
-    """
-    known = S.stored(candidates(S.stored(scan(docs, key, text), "pii-scan")), "pii-candidates")
+def learn(known: DataFrame) -> dict[str, float]:
+    """The span classifier of a table of candidates."""
     each = known.select(F.explode("c").alias("c")).select("c.*")
     counts = [tuple(r) for r in each.groupBy("kind", "v1", "v2", "v3", "v4", "f1", "f2", "f3").count().collect()]
-    weights = span_classifier(sorted(counts))
+    return span_classifier(sorted(counts))
+
+
+def accepted(known: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """(first column, found): base spans, and the added ones that the classifier accepts, by kind as listed in KINDS, then start."""
     table = F.create_map(*[F.lit(x) for kv in sorted(weights.items()) for x in kv])
+    first = known.columns[0]
 
-    def score(x: Column) -> Column:
-        total = table[x["kind"]]
+    def passes(x: Column) -> Column:
+        score = table[x["kind"]]
         for name in FEATURES:
-            total = total + table[F.concat_ws("|", x["kind"], F.lit(name), x[name].cast("string"))]
-        return total
+            score = score + table[F.concat_ws("|", x["kind"], F.lit(name), x[name].cast("string"))]
+        return (F.least(*[x[f"v{j}"] for j in (1, 2, 3, 4)]) >= 0) & ~x["base"] & (score >= math.log(ACCEPT / (1 - ACCEPT)))
 
-    base = known.select("doc_id", F.filter("c", lambda x: x["base"]).alias("b"), F.filter("c", lambda x: (F.least(*[x[f"v{j}"] for j in (1, 2, 3, 4)]) >= 0) & ~x["base"] & (score(x) >= math.log(ACCEPT / (1 - ACCEPT)))).alias("w"))
+    base = known.select(first, F.filter("c", lambda x: x["base"]).alias("b"), F.filter("c", passes).alias("w"))
     clear = F.filter("w", lambda x: ~F.exists("b", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
-    both = base.select("doc_id", F.concat("b", clear).alias("c"))
+    both = base.select(first, F.concat("b", clear).alias("c"))
     ranked = F.transform("c", lambda x: F.struct(F.array_position(F.array(*map(F.lit, KINDS)), x["kind"]).alias("r"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"), x["base"].alias("base")))
-    return both.select("doc_id", F.array_sort(ranked).alias("found"))
+    return both.select(first, F.array_sort(ranked).alias("found"))
+
+
+def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, found) of each document; found: array of (kind, s, e, base)."""
+    known = S.stored(candidates(S.stored(scan(docs, key, text), "pii-scan")), "pii-candidates")
+    return accepted(known, learn(known))
+
+
+def mask_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The documents with each span of personal data replaced by its kind in angle brackets.
+
+    The texts are gone through twice: once for the classifier, once to change them. So rows
+    needn't be told apart by an id. A span that begins inside another is part of it. A
+    column named as ``length`` follows the text.
+    """
+    weights = learn(candidates(S.stored(scan(docs, key, text), "pii-scan")))
+    found = accepted(candidates(scan(docs, key, text, carry=True)), weights)
+    spans = F.array_sort(F.transform("found", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("to"), x["e"].alias("e"), x["kind"].alias("kind"))))
+    whole = F.col(f"row.{text}")
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def add(done: Column, x: Column) -> Column:
+        new = F.array(F.substring(whole, done["at"] + 1, x["s"] - done["at"]), F.concat(F.lit("<"), x["kind"], F.lit(">")))
+        return F.struct(F.greatest(done["at"], x["e"]).alias("at"), F.when(x["s"] < done["at"], done["parts"]).otherwise(F.concat(done["parts"], new)).alias("parts"))
+
+    masked = F.aggregate(spans, begin, add, lambda done: F.array_join(F.concat(done["parts"], F.array(F.substring(whole, done["at"] + 1, F.length(whole)))), ""))
+    text_now = F.when(F.size("found") > 0, masked).otherwise(whole)
+    changed = found.select("row", text_now.alias("changed"))
+    columns = [F.col("changed").alias(c) if c == text else F.length("changed").cast(docs.schema[c].dataType).alias(c) if c == length else F.col("row")[c].alias(c) for c in docs.columns]
+    return changed.select(*columns)
 
 
 def _joined(spans: Column) -> Column:
