@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.functions.grams import char_trigrams, query_terms
+from lexloom.functions.grams import query_terms, with_trigrams
 
 K1, B = 1.2, 0.75
 #: An inverse document frequency never falls below this.
@@ -14,7 +14,8 @@ LEAST_IDF = 1e-6
 
 def postings(docs: DataFrame, key: str = "doc_id", text: str = "text", only: DataFrame | None = None) -> DataFrame:
     """(gram, key, len, tf). With ``only`` (a table of grams) other grams go before the shuffle."""
-    grams = docs.select(key, F.greatest(F.length(text) - 2, F.lit(0)).alias("len"), F.explode(char_trigrams(F.col(text))).alias("gram"))
+    sized = with_trigrams(docs.select(key, F.greatest(F.length(text) - 2, F.lit(0)).alias("len"), text), text, "grams")
+    grams = sized.select(key, "len", F.explode("grams").alias("gram"))
     if only is not None:
         grams = grams.join(only.select("gram").distinct(), "gram", "left_semi")
     return grams.groupBy("gram", key, "len").agg(F.count("*").alias("tf"))
