@@ -21,7 +21,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from lexloom.plans import search_queries  # noqa: F401
+    from lexloom.plans import graph_queries, search_queries, statute_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
