@@ -21,9 +21,9 @@ def postings(docs: DataFrame, key: str = "doc_id", text: str = "text", only: Dat
     return grams.groupBy("gram", key, "len").agg(F.count("*").alias("tf"))
 
 
-def bm25_scores(docs: DataFrame, queries: DataFrame, key: str = "doc_id", qkey: str = "item_id", text: str = "text") -> DataFrame:
+def bm25_scores(docs: DataFrame, queries: DataFrame, key: str = "doc_id", qkey: str = "item_id", text: str = "text", qtext: str | None = None) -> DataFrame:
     """(qkey, key, score) of every document sharing a trigram with a query; any trigram of it counts."""
-    terms = queries.select(qkey, F.explode(query_terms(F.col(text))).alias("gram"))
+    terms = queries.select(qkey, F.explode(query_terms(F.col(qtext or text))).alias("gram"))
     tf = postings(docs, key, text, terms)
     df = tf.groupBy("gram").agg(F.count("*").alias("df"))
     stats = docs.agg(F.count("*").alias("n"), F.avg(F.greatest(F.length(text) - 2, F.lit(0))).alias("avgdl"))

@@ -1 +1,153 @@
-"""Statute queries: the parts of the citation engine that the driver tables cannot stand for."""
+"""Statute queries over a small corpus of their own, as the driver tables hold no statutes.
+
+Their SQL states the rows that must come out.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from lexloom.functions.ids import article_of, law_of, law_type, path_key
+from lexloom.functions.numerals import kanji_number
+from lexloom.operators import build as builds
+from lexloom.operators import checks, names, search
+from lexloom.plans.registry import query
+from lexloom.session import table
+from lexloom.sources import release
+from lexloom.sources.statutes import contains_edges
+
+ACT, ORDER = "997AC0000000001", "997CO0000000002"
+
+
+def _p(num: int, text: str, items: str = "") -> str:
+    return f'<Paragraph Num="{num}"><ParagraphSentence><Sentence>{text}</Sentence></ParagraphSentence>{items}</Paragraph>'
+
+
+def _a(num: str, *paragraphs: str) -> str:
+    return f'<Article Num="{num}"><ArticleTitle>第{num}条</ArticleTitle>{"".join(paragraphs)}</Article>'
+
+
+def _law(number: str, title: str, main: str, rest: str = "") -> str:
+    return f"<Law><LawNum>{number}</LawNum><LawBody><LawTitle>{title}</LawTitle><MainProvision>{main}</MainProvision>{rest}</LawBody></Law>"
+
+
+_ITEM = '<Item Num="{0}"><ItemTitle>{0}</ItemTitle><ItemSentence><Sentence>{1}</Sentence></ItemSentence></Item>'
+DOCUMENTS = [
+    (ACT, "20200401_0", "20200401", "", _law("平成三十年法律第七号", "灯台法", _a("1", _p(1, "灯台は政令で定める。")) + _a("2", _p(1, "第一条及び前条の灯台", _ITEM.format(1, "光") + _ITEM.format(2, "前号の光"))) + _a("2_2", _p(1, "別表による。"), _p(2, "前項及び附則第一条をみよ。")), "<SupplProvision>" + _a("1", _p(1, "公布の日")) + "</SupplProvision><AppdxTable><AppdxTableTitle>別表</AppdxTableTitle></AppdxTable>")),
+    (ACT, "20990401_1", "20990401", "", _law("平成三十年法律第七号", "灯台法", _a("1", _p(1, "未来。")))),
+    (ORDER, "20200401_0", "20200401", "", _law("平成三十年政令第八号", "灯台法施行令", _a("1", _p(1, "灯台法（平成三十年法律第七号。以下「灯法」という。）第二条第一項第二号、第一条及び灯法第二条の二第二項をいう。")) + _a("2", _p(1, "同法第一条、法第一条及び前条による。")))),
+]
+
+
+def _built(spark: SparkSession) -> builds.Statutes:
+    docs = spark.createDataFrame(DOCUMENTS, "law_id string, mst_id string, enforcement_date string, path string, content string")
+    return builds.build(docs, "20260101")
+
+
+def _values(columns: str, rows: list[tuple]) -> str:
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join('NULL' if v is None else str(v) if isinstance(v, (int, float)) else repr(v) for v in r) + ')' for r in rows)}) AS t({columns})"
+
+
+A, O = ACT, ORDER  # noqa: E741
+EDGES = [
+    (f"{A}_a2_p1", f"{A}_a1", "CITES", "INTERNAL_PAT"),
+    (f"{A}_a2_p1_i2", f"{A}_a2_p1_i1", "CITES", "REFERENTIAL/前号"),
+    (f"{A}_a2-2_p2", f"{A}_a2-2_p1", "CITES", "REFERENTIAL/前項"),
+    (f"{A}_a2-2_p2", f"{A}_asup-sp1-1", "CITES", "INTERNAL_PAT"),
+    (f"{O}_a1_p1", f"{A}_a2_p1_i2", "CITES", "EXTERNAL_FULL_PAT/promulgation"),
+    (f"{O}_a1_p1", f"{A}_a1", "CITES", "INTERNAL_PAT/enum_carryover"),
+    (f"{O}_a1_p1", f"{A}_a2-2_p2", "CITES", "EXTERNAL_FULL_PAT/defined_abbrev"),
+    (f"{O}_a2_p1", f"{A}_a1", "CITES", "EXTERNAL_FULL_PAT/anaphora_family"),
+    (f"{O}_a2_p1", f"{O}_a1", "CITES", "REFERENTIAL/前条"),
+    (f"{A}_a1_p1", O, "DELEGATES_TO", "DELEGATION/政令"),
+    (f"{A}_a2-2_p1", f"{A}_at-0", "REFERS_TO_ATTACHMENT", "ATTACHMENT_REF_PAT"),
+]
+
+
+@query("statute_edges", _values("source, target, rel, extracted_from", EDGES))
+def statute_edges(spark, sf_dir):
+    return _built(spark).edges.select("source", "target", "rel", "extracted_from")
+
+
+@query("statute_node_counts", _values("type, n", [("Law", 2), ("Article", 5), ("Paragraph", 6), ("Item", 2), ("SupplArticle", 1), ("SupplParagraph", 1), ("Attachment", 1)]))
+def statute_node_counts(spark, sf_dir):
+    return _built(spark).nodes.groupBy("type").agg(F.count("*").alias("n"))
+
+
+@query("statute_pending", _values("law_id, enforcement_date, previous", [(A, "20990401", "20200401_0")]))
+def statute_pending(spark, sf_dir):
+    return _built(spark).pending.select("law_id", "enforcement_date", "previous")
+
+
+@query("statute_checks", 'SELECT "check", passed FROM (' + _values('"check", passed', [("V01", 1), ("V02", 1), ("V03", 1), ("V04", 1), ("V05", 1), ("V06", 0), ("V07", 0), ("V09", 1), ("V10", 1), ("V11", 0)]).replace(", 1)", ", true)").replace(", 0)", ", false)") + ")")
+def statute_checks(spark, sf_dir):
+    b = _built(spark)
+    outcomes = b.mentions.groupBy("outcome").agg(F.count("*").alias("n"))
+    return checks.all_checks(b.nodes, contains_edges(b.nodes), b.edges, outcomes).select("check", "passed")
+
+
+@query("statute_law_pairs", _values("src_law_id, tgt_law_id, n_citations", [(O, A, 4)]))
+def statute_law_pairs(spark, sf_dir):
+    b = _built(spark)
+    return release.law_to_law(b.edges, b.nodes).select("src_law_id", "tgt_law_id", "n_citations")
+
+
+@query("statute_search", _values("node_id", [(f"{A}_a2_p1",), (f"{A}_a1_p1",)]))
+def statute_search(spark, sf_dir):
+    found = search.keyword_search(search.chunks(_built(spark).nodes), "灯台は", "node_id", "body", "heading")
+    more = search.keyword_search(search.chunks(_built(spark).nodes), "光", "node_id", "body", "heading")
+    return found.select("node_id").unionByName(more.select("node_id"))
+
+
+@query("statute_lookup", _values("id, rank", [(f"{A}_a2-2_p2", 1)]))
+def statute_lookup(spark, sf_dir):
+    ids = search.candidate_ids(ACT, search.parse_citation("灯台法第二条の二第二項第五号"))
+    return search.first_existing(_built(spark).nodes, ids).select("id", "rank")
+
+
+NUMERALS = [("十", 10), ("二十一", 21), ("百五", 105), ("千二百三十", 1230), ("一二", 12), ("七", 7), ("34", 34), ("10の2", 10)]
+
+
+@query("numerals", _values("t, n", NUMERALS))
+def numerals(spark, sf_dir):
+    rows = spark.createDataFrame([(t,) for t, _ in NUMERALS], "t string")
+    return rows.select("t", kanji_number(F.col("t")).alias("n"))
+
+
+NAMES = [("灯台法", "L1", "canonical", 1.0), ("又は灯台法", "L1", "canonical", 1.0), ("旧灯台法", "L1", "prefix_stripped", 0.95), ("改正後の灯法", "L1", "prefix_stripped", 0.85), ("前の標識法", "L1", "old_name", 0.95), ("この海上灯台法", "L2", "canonical", 1.0), ("この憲法", "L3", "suffix", 0.85)]
+
+
+@query("law_names", "SELECT name, law_id, via, CAST(confidence AS DOUBLE) AS confidence FROM (" + _values("name, law_id, via, confidence", NAMES) + ")")
+def law_names(spark, sf_dir):
+    known = spark.createDataFrame([("灯台法", "L1", "canonical"), ("灯法", "L1", "alias"), ("標識法", "L1", "old_name"), ("海上灯台法", "L2", "canonical"), ("憲法", "L3", "canonical")], "name string, law_id string, kind string")
+    asked = spark.createDataFrame([(n, None) for n, *_ in NAMES] + [("陸上灯台法", None), ("無名法", None)], "name string, promulgation string")
+    return names.resolve_names(asked, known).select("name", "law_id", "via", "confidence")
+
+
+@query("law_families", _values("parent, kind, child", [("L1", "政令", "L2"), ("L1", "省令", "L3")]))
+def law_families(spark, sf_dir):
+    laws = spark.createDataFrame([("L1", "灯台法", 0), ("L2", "灯台法施行令", 1), ("L3", "灯台法施行規則", 2), ("L4", "港法施行令", 3)], "id string, title string, seq long")
+    return names.family(laws)
+
+
+@query("id_functions", "SELECT 'L' || o_orderkey || '_a' || (o_orderkey % 7) || '-2_p1' AS id, 'L' || o_orderkey || '_a' || (o_orderkey % 7) || '-2' AS article, 'L' || o_orderkey AS law FROM orders")
+def id_functions(spark, sf_dir):
+    key = F.col("o_orderkey")
+    ids = table(spark, sf_dir, "orders").select(F.concat(F.lit("L"), key.cast("string"), F.lit("_a"), (key % 7).cast("string"), F.lit("-2_p1")).alias("id"))
+    return ids.select("id", article_of(F.col("id")).alias("article"), law_of(F.col("id")).alias("law"))
+
+
+@query("path_order", "SELECT p, row_number() OVER (ORDER BY a, b NULLS FIRST) AS nr FROM (SELECT DISTINCT p_size || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE '-' || (p_partkey % 13) END AS p, p_size AS a, CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE p_partkey % 13 END AS b FROM part)")
+def path_order(spark, sf_dir):
+    from pyspark.sql import Window
+
+    paths = table(spark, sf_dir, "part").select(F.concat(F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 2 == 0, "").otherwise(F.concat(F.lit("-"), (F.col("p_partkey") % 13).cast("string")))).alias("p")).distinct()
+    # a few hundred paths of one law's articles
+    return paths.select("p", F.row_number().over(Window.orderBy(path_key(F.col("p")))).cast("long").alias("nr"))
+
+
+@query("law_types", _values("id, type", [("129AC0000000089", "act"), ("340CO0000000097", "cabinet_order"), ("105DF0000000337", "dajokan"), ("322IO0000000001", "imperial_order"), ("411M50000002001", "ministerial"), ("321CONSTITUTION", "cabinet_order"), ("999XX0000000001", "other")]))
+def law_types(spark, sf_dir):
+    ids = ["129AC0000000089", "340CO0000000097", "105DF0000000337", "322IO0000000001", "411M50000002001", "321CONSTITUTION", "999XX0000000001"]
+    return spark.createDataFrame([(x,) for x in ids], "id string").select("id", law_type(F.col("id")).alias("type"))
