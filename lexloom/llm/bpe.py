@@ -10,8 +10,8 @@ existence is read from the splits along two chains (see ``Automaton.arc``). Arcs
 were once asked for are kept in a transition table.
 
 Encoding cuts a text into words as the vocabulary's pre-tokenizer does, then runs each
-word through the table, from every prefix's only state onward along a byte trie. Decoding
-emits the arc labels, the tokens' bytes.
+word through the table, the longest arc along a byte trie first. Decoding emits the arc
+labels, the tokens' bytes.
 
 Which characters are letters, digits and white space is asked of the tokenizers library
 itself: its Unicode version differs from Python's.
@@ -23,19 +23,22 @@ other than key and text are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Words kept with their tokens in a worker, and bytes above which a word isn't kept.
-CACHED_WORDS, CACHED_BYTES = 400_000, 64
+#: Words kept with their tokens in a worker, in each of two generations, and characters above which a word isn't kept.
+CACHED_WORDS, CACHED_CHARS = 150_000, 48
 #: Arcs kept in a worker's transition table.
-CACHED_ARCS = 2_000_000
+CACHED_ARCS = 300_000
+TOKEN = -1
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -61,11 +64,13 @@ class Automaton:
         for step, pair in enumerate(merges):
             u, v = pair.split(" ") if isinstance(pair, str) else pair
             self.add_gadget(step, vocabulary[u], vocabulary[v], vocabulary[u + v])
-        self.trie: dict[int, int] = {}
-        self.token_at = [-1]
+        self.trie: dict = {}  # byte -> node; the token that ends at a node is under TOKEN
         for i, label in self.labels.items():
             if len(label) == 1 or i in self.born:
-                self.add_label(label, i)
+                node = self.trie
+                for byte in label:
+                    node = node.setdefault(byte, {})
+                node[TOKEN] = i
 
     def add_gadget(self, step: int, u: int, v: int, uv: int) -> None:
         """Merge u and v: the state after u is split, and the state after uv is that after v as it now is."""
@@ -73,16 +78,6 @@ class Automaton:
         if uv not in self.born:
             self.left[uv], self.right[uv], self.born[uv] = u, v, step
 
-    def add_label(self, label: bytes, token: int) -> None:
-        node = 0
-        for b in label:
-            key = node << 8 | b
-            node = self.trie.get(key, 0)
-            if not node:
-                node = self.trie[key] = len(self.token_at)
-                self.token_at.append(-1)
-        self.token_at[node] = token
-
     def arc(self, a: int, b: int) -> bool:
         """Whether the state after token a has the arc b.
 
@@ -106,48 +101,59 @@ class Automaton:
             a = self.right[a]
 
     def encode(self, word: bytes) -> list[int]:
-        n, trie, token_at, arcs = len(word), self.trie, self.token_at, self.arcs
-        last, came = [-1] * (n + 1), [0] * (n + 1)
-        for p in range(n):
-            a = last[p]
-            if p and a < 0:
-                continue
-            node = 0
-            for e in range(p, n):
-                node = trie.get(node << 8 | word[e])
+        """The accepted tokens of a word: the longest arc first, stepping back from dead ends.
+
+        A prefix has one accepted sequence, so no place is reached twice.
+        """
+        n, arcs = len(word), self.arcs
+        path, open_ = [], []  # tokens taken, and the shorter arcs left at each place they were taken from
+        at, last = 0, -1
+        while at < n:
+            node, ways = self.trie, []
+            for e in range(at, n):
+                node = node.get(word[e])
                 if node is None:
                     break
-                b = token_at[node]
-                if b < 0 or last[e + 1] >= 0:
-                    continue
-                if p:
-                    key = a << 20 | b
+                if TOKEN in node:
+                    ways.append((e + 1, node[TOKEN]))
+            while True:
+                while ways:
+                    end, token = ways.pop()
+                    if last < 0:
+                        break
+                    key = last << 20 | token
                     ok = arcs.get(key)
                     if ok is None:
                         if len(arcs) >= CACHED_ARCS:
                             arcs.clear()
-                        ok = arcs[key] = self.arc(a, b)
-                    if not ok:
-                        continue
-                last[e + 1], came[e + 1] = b, p
-        out = []
-        while n:
-            out.append(last[n])
-            n = came[n]
-        return out[::-1]
+                        ok = arcs[key] = self.arc(last, token)
+                    if ok:
+                        break
+                else:
+                    # a dead end: back to the place before
+                    ways = open_.pop()
+                    path.pop()
+                    last = path[-1] if path else -1
+                    continue
+                break
+            open_.append(ways)
+            path.append(token)
+            at, last = end, token
+        return path
 
 
-def character_classes(tokenizer) -> dict[str, str]:
-    """The letters, digits and white space of the library's pre-tokenizer, as ranges for a character class."""
+def character_classes(tokenizer) -> dict[str, list]:
+    """The letters, digits and white space of the library's pre-tokenizer, as ranges of code points."""
     import regex
 
     split = tokenizer.pre_tokenizer.pre_tokenize_str
+    all_ = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     found = {}
     for name, probe, about in (("L", "a", r"\p{L}"), ("N", "1", r"\p{N}"), ("S", "!", r"\s")):
-        every = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]) if regex.match(about, c)]
+        every = regex.findall(about, all_)
         members = []
-        for i in range(0, len(every), 4096):
-            part = every[i : i + 4096]
+        for i in range(0, len(every), 128):
+            part = every[i : i + 128]
             # white space is what parts two marks; a letter or digit is what joins two of its kind
             pieces = split("".join(f"{probe}{c}{probe}{'!' if probe != '!' else 'a'}" for c in part))
             whole = {at for _, at in pieces}
@@ -161,23 +167,35 @@ def character_classes(tokenizer) -> dict[str, str]:
                 spans[-1][1] = c
             else:
                 spans.append([c, c])
-        found[name] = "".join(f"\\U{a:08x}-\\U{b:08x}" if a < b else f"\\U{a:08x}" for a, b in spans)
+        found[name] = spans
     return found
 
 
-def word_pattern(classes: dict[str, str]) -> re.Pattern:
-    letters, digits, white = classes["L"], classes["N"], classes["S"]
+def word_pattern(classes: dict[str, list], below: int = 0x110000) -> re.Pattern:
+    """The pre-tokenizer's pattern, for texts whose characters all lie below a code point."""
+
+    def part(spans: list) -> str:
+        inside = [(a, min(b, below - 1)) for a, b in spans if a < below]
+        return "".join(f"\\U{a:08x}-\\U{b:08x}" if a < b else f"\\U{a:08x}" for a, b in inside)
+
+    letters, digits, white = part(classes["L"]), part(classes["N"]), part(classes["S"])
     rest = f"[^{white}{letters}{digits}]"
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?{rest}+|[{white}]+(?![^{white}])|[{white}]+")
 
 
 class Codec(dict):
-    """Words to the little-endian bytes of their ids; filled as words are met, emptied when full."""
+    """Words to the little-endian bytes of their ids, filled as words are met.
+
+    When it is full it becomes the older generation and starts anew; a word met again is
+    taken over from there, so frequent words stay.
+    """
 
     def __init__(self, spec: dict):
         super().__init__()
         self.automaton = Automaton(spec["vocabulary"], spec["merges"])
-        self.words = word_pattern(spec["classes"]).findall
+        self.older: dict[str, bytes] = {}
+        # a pattern over the first 256 characters is much faster, and does for most texts in Latin letters
+        self.any_words, self.latin_words = word_pattern(spec["classes"]).findall, word_pattern(spec["classes"], 256).findall
         self.added = {content: np.uint32(i).astype("<u4").tobytes() for content, i in spec["added"].items()}
         self.parts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
         size = max([*self.automaton.labels, *spec["added"].values()]) + 1
@@ -187,11 +205,22 @@ class Codec(dict):
         for content, i in spec["added"].items():
             self.labels[i] = content.encode()
 
+    def words(self, text: str) -> list[str]:
+        """The words of a text, as the vocabulary's pre-tokenizer cuts it."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.any_words(text)
+        return self.latin_words(text)
+
     def __missing__(self, word: str) -> bytes:
-        data = word.encode()
-        ids = np.array(self.automaton.encode(data), dtype="<u4").tobytes()
-        if len(data) <= CACHED_BYTES:
+        ids = self.older.get(word)
+        if ids is None:
+            tokens = self.automaton.encode(word.encode())
+            ids = struct.pack(f"<{len(tokens)}I", *tokens)
+        if len(word) <= CACHED_CHARS:
             if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -210,6 +239,7 @@ class Codec(dict):
         return b"".join(map(self.labels.__getitem__, at)).decode("utf-8", "replace")
 
 
+@functools.lru_cache(maxsize=4)
 def codec_spec(path: str) -> dict:
     """What a worker needs to build the codec of a byte-level BPE file of the tokenizers library. Its size is the vocabulary's."""
     from tokenizers import Tokenizer
