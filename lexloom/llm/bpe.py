@@ -34,6 +34,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from lexloom.llm.shared import batched
+
 #: Words kept with their tokens in a worker, in each of two generations, and characters above which a word isn't kept.
 CACHED_WORDS, CACHED_CHARS = 150_000, 48
 #: Arcs kept in a worker's transition table.
@@ -316,4 +318,4 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    return batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))

@@ -459,7 +459,7 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, parities: bool =
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", parities: bool = True) -> DataFrame:
     """(doc_id, n_shingles, class, component_id) of every document. parities: False leaves that filter out, with the same result."""
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
     popular = docs.sparkSession.sparkContext.broadcast(popular_shingles(rows))  # 16 MB, whatever the data
     sketched = S.stored(sketches(rows, popular), "jaccard-sketches")
     links = class_links(rows, sketched.filter("c is not null"), popular, parities)

@@ -207,14 +207,14 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         for part, langs, score, families in classify(batches, shared.value, 2):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(langs, pa.string()), pa.array(score), pa.array(families, pa.string())], [f.split()[0] for f in SCHEMA.split(", ")])
 
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), held_out(docs[key]).alias("held_out"), docs[text].cast("string").alias("text"))
+    rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), held_out(docs[key]).alias("held_out"), docs[text].cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA)
 
 
 def keep_identified(docs: DataFrame, least: float, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents, as they are, whose language is known with a score of at least ``least``."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, key, text, lang))
-    at = docs.columns.index(text)
+    at = S.batched(docs).columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, langs, score, _ in classify(batches, shared.value, at):

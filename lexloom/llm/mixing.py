@@ -67,15 +67,17 @@ def targets(narrow: DataFrame) -> DataFrame:
     stops = weighed.withColumn("ratio", ratio)
     stops = running(stops, [F.col("ratio"), F.col("source").asc_nulls_last()], "source_size").withColumnRenamed("before", "size_before")
     stops = running(stops.drop("nr"), [F.col("ratio"), F.col("source").asc_nulls_last()], "weight").withColumnRenamed("before", "weight_before")
-    total = stops.agg(F.sum("source_size").alias("all_sizes"), F.sum("weight").alias("all_weights"))
-    rest = stops.join(F.broadcast(total)).withColumn("left", F.col("all_sizes") - MOST * F.col("size_before")).withColumn("open", F.col("all_weights") - F.col("weight_before"))
+    stops = S.durable(stops)
+    sizes_, weights = stops.agg(F.sum("source_size"), F.sum("weight")).first()
+    rest = stops.withColumn("left", F.lit(sizes_ or 0) - MOST * F.col("size_before")).withColumn("open", F.lit(weights or 0) - F.col("weight_before"))
     # the first source that doesn't stop fixes lambda
     wide = lambda c: F.col(c).cast("decimal(19,0)")  # noqa: E731  the products pass 64 bits
     going = wide("left") * wide("weight") <= wide("source_size") * wide("open") * MOST
-    level = rest.filter(going).agg(F.min(F.struct("ratio", F.col("nr"), "left", "open")).alias("at")).select(F.col("at.left").alias("left"), F.col("at.open").alias("open"), F.col("at.nr").alias("from_nr"))
-    both = rest.drop("left", "open").join(F.broadcast(level))
-    target = F.when(F.col("nr") >= F.col("from_nr"), F.col("left").cast("double") * F.col("weight") / F.col("open")).otherwise((MOST * F.col("source_size")).cast("double"))
-    return both.select("source", "source_size", target.alias("target"), "n_rows")
+    level = rest.filter(going).agg(F.min(F.struct("nr", "left", "open")).alias("at")).first()["at"]
+    stopped = (MOST * F.col("source_size")).cast("double")
+    # there is always a first one: not all sources can stop at several times all there is
+    target = F.when(F.col("nr") >= level["nr"], F.lit(level["left"]).cast("double") * F.col("weight") / F.lit(level["open"])).otherwise(stopped) if level else stopped
+    return rest.select("source", "source_size", target.alias("target"), "n_rows")
 
 
 def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", row: Column | None = None) -> DataFrame:

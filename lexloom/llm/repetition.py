@@ -116,4 +116,4 @@ def repetition_rules(docs: DataFrame, key: str = "doc_id", text: str = "text") -
                 m["doc_id"] = batch.column(0).slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([pa.array(m[c]) if c != "doc_id" else m[c] for c in names], names)
 
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(judge, SCHEMA)
+    return S.batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(judge, SCHEMA)

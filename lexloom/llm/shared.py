@@ -16,6 +16,8 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 #: Numpy works on slices of about this many bytes, so that its temporaries stay small; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Rows of texts or of whole sets that cross to Python at once.
+BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,6 +45,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def batched(df: DataFrame) -> DataFrame:
+    """The rows, with the session's Arrow batches cut to BATCH_ROWS: a batch of texts is held several times over, by the engine and by numpy."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -135,7 +135,7 @@ def shrinkage(groups: DataFrame, good: str, seen: str, prior) -> float:
 
 def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """(doc_id, host, path, p_text, host_rate, path_rate, posterior, kept) of every document."""
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[host].cast("string").alias("host"), docs[path].cast("string").alias("path"), docs[text].cast("string").alias("text"))
+    rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[host].cast("string").alias("host"), docs[path].cast("string").alias("path"), docs[text].cast("string").alias("text"))
     known = labels.select(labels[key].cast("long").alias("doc_id"), labels[label].cast("double").alias("y")).dropna().groupBy("doc_id").agg(F.avg("y").alias("y"))
     model = fit(rows, known)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few numbers
