@@ -1,36 +1,91 @@
-"""BM25 ranking over character trigrams, as joins and aggregates."""
+"""BM25 ranking over character trigrams.
+
+A trigram is a 63-bit number, three code points of 21 bits. Counting them per text is
+numpy over Arrow batches: as strings, the engine would make an object of every one of them.
+Joins and sums over the counts are the engine's.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.functions.grams import query_terms, with_trigrams
+from lexloom.functions.grams import query_terms
 
 K1, B = 1.2, 0.75
 #: An inverse document frequency never falls below this.
 LEAST_IDF = 1e-6
+#: Trigrams of queries up to which they go to every task, as 4 MB at most, to drop the others there.
+FEW_GRAMS = 500_000
+
+
+def gram_code(gram: Column) -> Column:
+    """A trigram as a number."""
+    at = lambda i: F.ascii(F.substring(gram, i, 1)).cast("long")
+    return at(1).bitwiseOR(F.shiftleft(at(2), 21)).bitwiseOR(F.shiftleft(at(3), 42))
+
+
+def codes(text: str) -> np.ndarray:
+    """The trigrams of a text as numbers, in order."""
+    c = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    return c[:-2] | c[1:-1] << 21 | c[2:] << 42 if len(c) > 2 else np.empty(0, np.int64)
 
 
 def postings(docs: DataFrame, key: str = "doc_id", text: str = "text", only: DataFrame | None = None) -> DataFrame:
-    """(gram, key, len, tf). With ``only`` (a table of grams) other grams go before the shuffle."""
-    sized = with_trigrams(docs.select(key, F.greatest(F.length(text) - 2, F.lit(0)).alias("len"), text), text, "grams")
-    grams = sized.select(key, "len", F.explode("grams").alias("gram"))
+    """(key, len, gram, tf) of each text. only: a table of grams; others are dropped, where they are made if it is short."""
+    wanted = None
     if only is not None:
-        grams = grams.join(only.select("gram").distinct(), "gram", "left_semi")
-    return grams.groupBy("gram", key, "len").agg(F.count("*").alias("tf"))
+        some = only.select("gram").distinct().limit(FEW_GRAMS + 1).toPandas()["gram"].to_numpy(dtype=np.int64)
+        wanted = np.sort(some) if len(some) <= FEW_GRAMS else None
+    rows = docs.select(docs[key], F.lower(F.coalesce(docs[text], F.lit(""))).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                found = []
+                for t in part.column(1).to_pylist():
+                    g = codes(t)
+                    n = len(g)
+                    if shared.value is not None and n and len(shared.value):
+                        at = np.minimum(np.searchsorted(shared.value, g), len(shared.value) - 1)
+                        g = g[shared.value[at] == g]
+                    elif shared.value is not None:
+                        g = g[:0]
+                    found.append((n, *np.unique(g, return_counts=True)))
+                sizes = [len(g) for _, g, _ in found]
+                at = np.repeat(np.arange(len(found)), sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(at)), pa.array(np.repeat([n for n, _, _ in found], sizes).astype(np.int64)), pa.array(np.concatenate([g for _, g, _ in found])), pa.array(np.concatenate([c for _, _, c in found]).astype(np.int64))],
+                    [key, "len", "gram", "tf"],
+                )
+
+    made = rows.mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, len long, gram long, tf long")
+    if only is not None and wanted is None:
+        made = made.join(only.select("gram").distinct(), "gram", "left_semi")
+    return made
+
+
+def terms_of(queries: DataFrame, qkey: str, text: str) -> DataFrame:
+    """(qkey, gram): the distinct trigrams of each query, the first 64."""
+    return queries.select(qkey, F.explode(query_terms(F.col(text))).alias("g")).select(qkey, gram_code(F.col("g")).alias("gram"))
 
 
 def bm25_scores(docs: DataFrame, queries: DataFrame, key: str = "doc_id", qkey: str = "item_id", text: str = "text", qtext: str | None = None) -> DataFrame:
     """(qkey, key, score) of every document sharing a trigram with a query; any trigram of it counts."""
-    terms = queries.select(qkey, F.explode(query_terms(F.col(qtext or text))).alias("gram"))
+    terms = terms_of(queries, qkey, qtext or text)
     tf = postings(docs, key, text, terms)
     df = tf.groupBy("gram").agg(F.count("*").alias("df"))
-    stats = docs.agg(F.count("*").alias("n"), F.avg(F.greatest(F.length(text) - 2, F.lit(0))).alias("avgdl"))
-    weight = F.greatest(F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(LEAST_IDF))
-    part = weight * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avgdl")))
-    # one row of statistics: its size doesn't depend on the data
-    scored = tf.join(df, "gram").join(terms, "gram").join(F.broadcast(stats)).withColumn("part", part)
+    stats = docs.agg(F.count("*").alias("n"), F.avg(F.greatest(F.length(text) - 2, F.lit(0))).alias("avgdl")).first()
+    n, mean = float(stats["n"]), float(stats["avgdl"] or 1.0) or 1.0
+    weight = F.greatest(F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(LEAST_IDF))
+    part = weight * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.lit(mean)))
+    scored = tf.join(df, "gram").join(terms, "gram").withColumn("part", part)
     return scored.groupBy(qkey, key).agg(F.round(F.sum("part"), 6).alias("score"))
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.operators import evaluation, search
-from lexloom.operators.bm25 import bm25_scores, top_k
+from lexloom.operators.bm25 import bm25_scores, postings, terms_of, top_k
 from lexloom.plans.registry import query
 from lexloom.session import table
 
@@ -43,12 +43,10 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    from lexloom.functions.grams import query_terms
-    from lexloom.operators.bm25 import postings
 
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    terms = items.select("item_id", F.explode(query_terms(F.col("passage"))).alias("gram"))
+    terms = terms_of(items, "item_id", "passage")
     posted = postings(docs, only=terms).select("gram", "doc_id")
     counted = terms.join(posted.groupBy("gram").agg(F.count("*").alias("df")), "gram")
     rare = counted.withColumn("r", F.row_number().over(Window.partitionBy("item_id").orderBy("df", "gram"))).filter("r = 1")
