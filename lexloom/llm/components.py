@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from lexloom.llm import shared as S
 
+#: Links that one task takes.
+PART_ROWS = 50_000
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
+
+def _stars(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     """Every node hands its neighbours (the larger ones, or itself and the smaller ones) to the least of them."""
     if large:
         around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -21,7 +24,8 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     else:
         own = seen.select("u", F.col("m").alias("v"))
         made = own.unionByName(seen.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")))
-    return made.filter(F.col("u") != F.col("v")).distinct()
+    # neither kind of star makes more edges than there were nodes and edges
+    return made.filter(F.col("u") != F.col("v")).coalesce(parts).distinct().coalesce(parts)
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -30,10 +34,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     Each round halves the height of the trees, so rounds grow as the logarithm of the
     longest path. Links and labels stay distributed; each round is checkpointed.
     """
-    edges = S.durable(links.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = S.durable(links.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), PART_ROWS)
+    parts = S.parts_for(edges.count(), PART_ROWS)
     before = None
     while True:
-        edges = S.durable(_stars(_stars(edges, True), False))
+        edges = S.durable(_stars(_stars(edges, True, parts), False, parts))
         # sums of hashes of all edges: alike only where the edges are
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if before == now:

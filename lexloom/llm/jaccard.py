@@ -58,6 +58,8 @@ MOST_COMMON, POPULAR = int(0.8 * (1 << BITMAP_BITS)), 4
 BLOCK = 1024
 #: Edges up to which they are broadcast to the sets they need, in about 1 MB.
 FEW_EDGES = 20_000
+#: Rows of the short tables of classes and edges that one task takes.
+PART_ROWS = 50_000
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
@@ -409,7 +411,7 @@ def _verify(edges: DataFrame, sets: DataFrame) -> DataFrame:
     halves = [some.join(sets.select(F.col("c").alias(end), *[F.col(x).alias(x + end) for x in [*others, "s"]]), end) for end in ("u", "v")]
     met = halves[0].join(halves[1], ["u", "v"])
     columns = [x + end for end in ("u", "v") for x in [*others, "s"]]
-    return S.durable(met.select("u", "v", *columns).mapInArrow(run, "u binary, v binary, linked boolean"))
+    return S.durable(met.select("u", "v", *columns).mapInArrow(run, "u binary, v binary, linked boolean"), PART_ROWS)
 
 
 def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -424,14 +426,14 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, parities: bool =
     """(u, v): links between classes that connect whatever any links connect."""
     posted = S.durable(_shared_tokens(sketched, "p1"))
     wanted = sketched.groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(posted.select("c").distinct(), "c", "left_semi")
-    live = whole_sets(rows, S.durable(wanted), popular)
+    live = whole_sets(rows, S.durable(wanted, PART_ROWS), popular)
     alive = live.select("c")
     for k in range(2, ORDERS + 1):
         shared = _shared_tokens(live.select("c", f"p{k}").join(alive, "c", "left_semi"), f"p{k}")
-        alive = S.durable(shared.select("c").distinct())
+        alive = S.durable(shared.select("c").distinct(), PART_ROWS)
     left = posted.select("tok", "c").join(alive, "c", "left_semi")
     left = left.withColumn("k", F.count("*").over(Window.partitionBy("tok"))).filter(F.col("k") > 1)
-    blocks = S.durable(_blocks(left))
+    blocks = S.durable(_blocks(left), PART_ROWS)
     payload = live.select("c", "n", "sig")
 
     def groups(of: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -439,21 +441,21 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, parities: bool =
         full = full.join(labels.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")) if labels is not None else full.withColumn("root", F.lit(None).cast("binary"))
         return full.repartition("tok", "b").sortWithinPartitions("tok", "b", "n", "c")
 
-    emitted = S.durable(_group_edges(groups(blocks, None), _forest, parities))
-    edges = S.durable(emitted.select("u", "v").distinct())
+    emitted = S.durable(_group_edges(groups(blocks, None), _forest, parities), PART_ROWS)
+    edges = S.durable(emitted.select("u", "v").distinct(), PART_ROWS)
     # one edge for each class first; most others then lie inside a component
-    first = S.durable(edges.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+    first = S.durable(edges.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), PART_ROWS)
     checked = _verify(first, live)
     labels = connected_components(checked.filter("linked").select("u", "v"))
-    more = S.durable(_between(edges.join(checked, ["u", "v"], "left_anti"), labels))
+    more = S.durable(_between(edges.join(checked, ["u", "v"], "left_anti"), labels), PART_ROWS)
     if not more.isEmpty():
-        checked = S.durable(checked.unionByName(_verify(more, live)))
+        checked = checked.unionByName(_verify(more, live))
         labels = connected_components(checked.filter("linked").select("u", "v"))
-    failed = S.durable(_between(checked.filter(~F.col("linked")).select("u", "v"), labels))
+    failed = S.durable(_between(checked.filter(~F.col("linked")).select("u", "v"), labels), PART_ROWS)
     if not failed.isEmpty():
         again = emitted.join(failed, ["u", "v"], "left_semi").select("tok", "b").distinct()
         across = _group_edges(groups(blocks.join(again, ["tok", "b"], "left_semi"), labels), _across, parities).select("u", "v").distinct()
-        checked = checked.unionByName(_verify(S.durable(across.join(checked, ["u", "v"], "left_anti")), live))
+        checked = checked.unionByName(_verify(S.durable(across.join(checked, ["u", "v"], "left_anti"), PART_ROWS), live))
     return checked.filter("linked").select("u", "v")
 
 

@@ -31,10 +31,19 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The rows, checkpointed in the shared folder: computed once, and safe when an executor is lost."""
+def durable(df: DataFrame, part_rows: int | None = None) -> DataFrame:
+    """The rows, checkpointed in the shared folder: computed once, and safe when an executor is lost.
+
+    part_rows: read them in parts of about so many rows, four at least. A short table in as
+    many parts as the shuffles have costs a file for each part in every later shuffle.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    return out if part_rows is None else out.coalesce(parts_for(out.count(), part_rows))
+
+
+def parts_for(rows: int, part_rows: int) -> int:
+    return max(4, -(-rows // part_rows))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
