@@ -17,6 +17,7 @@ the language first in code-point order. Other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -176,11 +177,14 @@ def train(docs: DataFrame, key: str, text: str, lang: str) -> Model | None:
                 yield made.filter(pa.array(ok))
 
     # an expected SAMPLE rows of 8 KB, whatever the data
-    sample = known.filter(F.coalesce(drawn, F.lit(False))).select("lang", "text").mapInArrow(run, "lang string, x binary").collect()
-    if not sample:
+    sample = known.filter(F.coalesce(drawn, F.lit(False))).select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow().combine_chunks()
+    if not sample.num_rows:
         return None
-    pairs = sorted((r["lang"], bytes(r["x"])) for r in sample)
-    return Model(np.stack([np.frombuffer(x, dtype=np.float32) for _, x in pairs]), [lang for lang, _ in pairs])
+    langs, cells = sample.column("lang").to_pylist(), sample.column("x").chunk(0)
+    # read in place: as objects the rows would be held several times over
+    x = np.frombuffer(cells.buffers()[2], dtype=np.float32)[: len(langs) * WIDTH].reshape(-1, WIDTH)
+    order = sorted(range(len(langs)), key=lambda i: (langs[i], zlib.crc32(x[i]), i))
+    return Model(x[order], [langs[i] for i in order])
 
 
 def classify(batches: Iterator[pa.RecordBatch], model: Model | None, at: int) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray, list]]:
