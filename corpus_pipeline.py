@@ -5,7 +5,8 @@ the columns they were given, in their order. A stage's result is written as a Pa
 table in the shared folder and read again as the next one's ``docs``.
 
 1. language: documents whose language isn't recognised go.
-2. near_copies: of each group of linked documents the one with the least id stays.
+2. near_copies: of each group of linked documents the one with the least id stays; they
+   are linked from a similarity of 0.8 of their five-word shingles on.
 3. personal_data: spans of personal data are replaced by their kind in angle brackets;
    where there is a column n_chars it follows the text.
 4. mixture: a document is repeated for each epoch that takes it whole; the one on a
@@ -27,6 +28,8 @@ from lexloom.llm import shared as S
 
 #: The least score of a recognised language; two families and two languages of each give 0.25 by chance.
 LEAST_SCORE = 0.3
+#: Words of a shingle and tenths of the similarity of near copies.
+NEAR_WORDS, NEAR_TENTHS = 5, 8
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.jaccard_components(docs)
+    found = jaccard.jaccard_components(docs, size=NEAR_WORDS, tenths=NEAR_TENTHS)
     # ids to drop, and ids that stand on several rows; both are short beside the documents
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(S.durable(gone), "doc_id", "left_anti").select(*docs.columns)

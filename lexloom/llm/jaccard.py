@@ -8,7 +8,7 @@ Texts with equal shingle sets form a class; everything below works on classes.
    the result.
 2. Token orders. Under each of ORDERS orders, shingles that don't repeat come first, then
    those that don't often; within these levels they go by a hash of the order's own. If two sets are linked, they share a token among the first
-   n - ceil(0.9 n) + 1 of each, under every order.
+   n - ceil(t n) + 1 of each, t being the least similarity, under every order.
 3. Intersecting the filters. Classes that share a prefix token with another class under
    the first order go on, of these those that share one under the second, and so on.
    The groups are the shared tokens of the first order among the classes left; in a group
@@ -45,9 +45,8 @@ from pyspark.sql import functions as F
 from lexloom.llm import shared as S
 from lexloom.llm.components import connected_components
 
-SHINGLE = 3
-#: Linked from this similarity on: TENTHS tenths.
-TENTHS = 9
+#: Words of a shingle, and tenths of the similarity from which on texts are linked, unless they are given.
+SHINGLE, TENTHS = 3, 9
 ORDERS = 3
 SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0xA4093822299F31D0)]
 BITMAP_BITS = 26
@@ -62,7 +61,7 @@ FEW_EDGES = 20_000
 PART_ROWS = 50_000
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each row of a slice."""
     lower = S.LOWER[data]
     starts, ends = S.runs(~S.WHITE[data], offsets)
@@ -121,7 +120,7 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.int64)[gaps != 65535]
 
 
-def popular_shingles(rows: DataFrame) -> np.ndarray:
+def popular_shingles(rows: DataFrame, size: int) -> np.ndarray:
     """Two bitmaps, of the common and of the popular shingles of all texts (a table of text)."""
     spark = rows.sparkSession
     buckets = 1 << max(6, (S.shuffle_width(spark) - 1).bit_length())
@@ -138,7 +137,7 @@ def popular_shingles(rows: DataFrame) -> np.ndarray:
 
         for batch in batches:
             for _, _, data, offsets in S.slices(batch.column(0)):
-                for s in shingles(data, offsets):
+                for s in shingles(data, offsets, size):
                     held.append((s >> np.uint64(32)).astype(np.int64))
                     total += len(s)
                 if total > 1 << 22:
@@ -209,10 +208,10 @@ def parities(s: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def prefix(s: np.ndarray, popular: np.ndarray, order: int) -> bytes:
+def prefix(s: np.ndarray, popular: np.ndarray, order: int, tenths: int) -> bytes:
     """The tokens that linked sets must share one of, under one of the orders."""
     n = len(s)
-    length = n - -(-TENTHS * n // 10) + 1
+    length = n - -(-tenths * n // 10) + 1
     if length >= n:
         return s.astype("<u8").tobytes()
     place = _place(s)
@@ -221,21 +220,21 @@ def prefix(s: np.ndarray, popular: np.ndarray, order: int) -> bytes:
     return s[np.argpartition(rank, length - 1)[:length]].astype("<u8").tobytes()
 
 
-def sketches(rows: DataFrame, popular) -> DataFrame:
+def sketches(rows: DataFrame, popular, size: int, tenths: int) -> DataFrame:
     """(doc_id, n, c, p1) of every text: its number of shingles, class and prefix under the first order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in S.slices(batch.column(1)):
-                sets = shingles(data, offsets)
+                sets = shingles(data, offsets, size)
                 names = [class_name(s) if len(s) else None for s in sets]
-                first = [prefix(s, popular.value, 1) if len(s) else None for s in sets]
+                first = [prefix(s, popular.value, 1, tenths) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array(first, pa.binary())], ["doc_id", "n", "c", "p1"])
 
     return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, c binary, p1 binary")
 
 
-def whole_sets(rows: DataFrame, wanted: DataFrame, popular) -> DataFrame:
+def whole_sets(rows: DataFrame, wanted: DataFrame, popular, size: int, tenths: int) -> DataFrame:
     """The classes in ``wanted`` (c, doc_id), one row each, made again from their texts: sizes, parities, the other orders' prefixes, and all shingles."""
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS)
     keep = rows.sparkSession.sparkContext.broadcast(_bits_set(wanted.select(place.alias("pos"))))  # 8 MB, whatever the data
@@ -246,9 +245,9 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, popular) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pa.array(_has(keep.value, batch.column(1).to_numpy().astype(np.uint64))))
             for _, _, data, offsets in S.slices(batch.column(0)):
-                sets = [s for s in shingles(data, offsets) if len(s)]
+                sets = [s for s in shingles(data, offsets, size) if len(s)]
                 cells = [[class_name(s) for s in sets], [len(s) for s in sets], [parities(s) for s in sets]]
-                cells += [[prefix(s, popular.value, k) for s in sets] for k in others] + [[s.astype("<u8").tobytes() for s in sets]]
+                cells += [[prefix(s, popular.value, k, tenths) for s in sets] for k in others] + [[s.astype("<u8").tobytes() for s in sets]]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64() if name == "n" else pa.binary()) for name, x in zip(names, cells)], names)
 
     schema = ", ".join(f"{x} {'long' if x == 'n' else 'binary'}" for x in names)
@@ -275,21 +274,21 @@ def _shared_tokens(sketched: DataFrame, prefix: str) -> DataFrame:
     return once.withColumn("k", F.count("*").over(Window.partitionBy("tok"))).filter(F.col("k") > 1)
 
 
-def _near(n: np.ndarray, m: int) -> np.ndarray:
+def _near(n: np.ndarray, m: int, tenths: int) -> np.ndarray:
     """Whether sizes allow a link."""
-    return 10 * np.minimum(n, m) >= TENTHS * np.maximum(n, m)
+    return 10 * np.minimum(n, m) >= tenths * np.maximum(n, m)
 
 
-def _most_apart(n, m):
+def _most_apart(n, m, tenths: int):
     """The largest symmetric difference of linked sets of these sizes: 1/19 of their sum at 0.9."""
-    return (10 - TENTHS) * (n + m) // (10 + TENTHS)
+    return (10 - tenths) * (n + m) // (10 + tenths)
 
 
 class Group:
     """The classes that share a prefix token, with what tells candidates among them."""
 
-    def __init__(self, names: list[bytes], n: np.ndarray, sigs: list[bytes], parities: bool = True):
-        self.names, self.n, self.parities = names, n, parities
+    def __init__(self, names: list[bytes], n: np.ndarray, sigs: list[bytes], tenths: int, parities: bool = True):
+        self.names, self.n, self.tenths, self.parities = names, n, tenths, parities
         self.sigs = [np.frombuffer(s, "<u8") for s in sigs]
         self.by_bits: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         lengths = np.array([len(s) for s in self.sigs])
@@ -303,7 +302,7 @@ class Group:
         for k, (at, matrix) in self.by_bits.items():
             if not k // 2 <= len(mine) <= 2 * k:
                 continue
-            some = np.flatnonzero(open_[at] & _near(self.n[at], self.n[x]))
+            some = np.flatnonzero(open_[at] & _near(self.n[at], self.n[x], self.tenths))
             if not len(some):
                 continue
             if not self.parities:
@@ -315,7 +314,7 @@ class Group:
             elif len(own) < k:
                 theirs = theirs[:, : k // 2] ^ theirs[:, k // 2 :]
             apart = np.bitwise_count(theirs ^ own).sum(axis=1)
-            found += at[some[apart <= _most_apart(self.n[at[some]], self.n[x])]].tolist()
+            found += at[some[apart <= _most_apart(self.n[at[some]], self.n[x], self.tenths)]].tolist()
         return [y for y in found if y != x]
 
 
@@ -343,7 +342,7 @@ def _across(g: Group, labels: list) -> list[tuple[int, int]]:
     return [(x, y) for x in range(len(g.names)) for y in g.candidates(x, every) if x < y and labels[x] != labels[y]]
 
 
-def _group_edges(grouped: DataFrame, choose, parities: bool) -> DataFrame:
+def _group_edges(grouped: DataFrame, choose, tenths: int, parities: bool) -> DataFrame:
     """(tok, b, u, v) of what ``choose`` takes of each group; grouped: tok, b, c, n, sig, root, dealt and sorted by tok and b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,7 +357,7 @@ def _group_edges(grouped: DataFrame, choose, parities: bool) -> DataFrame:
             out: list[tuple] = []
             for i, j in zip(cuts, cuts[1:]):
                 if j - i > 1:
-                    g = Group(names[i:j], n[i:j], sigs[i:j], parities)
+                    g = Group(names[i:j], n[i:j], sigs[i:j], tenths, parities)
                     out += [(int(toks[i]), int(bs[i]), *sorted((names[i + x], names[i + y]))) for x, y in choose(g, roots[i:j])]
             t, b, u, v = zip(*out) if out else ((), (), (), ())
             return pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(b, pa.int64()), pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["tok", "b", "u", "v"])
@@ -388,7 +387,7 @@ def _blocks(posted: DataFrame) -> DataFrame:
     return posted.select("tok", "c", F.explode(F.when(F.col("k") <= 2 * BLOCK, F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("b"))
 
 
-def _verify(edges: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify(edges: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
     """(u, v, linked): the pairs that share prefix tokens under every other order, by exact intersection."""
     others = [f"p{k}" for k in range(2, ORDERS + 1)]
     width = len(others) + 1
@@ -400,7 +399,7 @@ def _verify(edges: DataFrame, sets: DataFrame) -> DataFrame:
                 a, b = ([np.frombuffer(x, "<u8") for x in half] for half in (row[:width], row[width:]))
                 if all(len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a[:-1], b[:-1])):
                     both = len(np.intersect1d(a[-1], b[-1], assume_unique=True))
-                    linked.append(10 * both >= TENTHS * (len(a[-1]) + len(b[-1]) - both))
+                    linked.append(10 * both >= tenths * (len(a[-1]) + len(b[-1]) - both))
                 else:
                     linked.append(False)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["u", "v", "linked"])
@@ -422,11 +421,11 @@ def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return roots.filter(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select(*edges.columns)
 
 
-def class_links(rows: DataFrame, sketched: DataFrame, popular, parities: bool = True) -> DataFrame:
+def class_links(rows: DataFrame, sketched: DataFrame, popular, size: int, tenths: int, parities: bool = True) -> DataFrame:
     """(u, v): links between classes that connect whatever any links connect."""
     posted = S.durable(_shared_tokens(sketched, "p1"))
     wanted = sketched.groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(posted.select("c").distinct(), "c", "left_semi")
-    live = whole_sets(rows, S.durable(wanted, PART_ROWS), popular)
+    live = whole_sets(rows, S.durable(wanted, PART_ROWS), popular, size, tenths)
     alive = live.select("c")
     for k in range(2, ORDERS + 1):
         shared = _shared_tokens(live.select("c", f"p{k}").join(alive, "c", "left_semi"), f"p{k}")
@@ -441,30 +440,33 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, parities: bool =
         full = full.join(labels.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")) if labels is not None else full.withColumn("root", F.lit(None).cast("binary"))
         return full.repartition("tok", "b").sortWithinPartitions("tok", "b", "n", "c")
 
-    emitted = S.durable(_group_edges(groups(blocks, None), _forest, parities), PART_ROWS)
+    emitted = S.durable(_group_edges(groups(blocks, None), _forest, tenths, parities), PART_ROWS)
     edges = S.durable(emitted.select("u", "v").distinct(), PART_ROWS)
     # one edge for each class first; most others then lie inside a component
     first = S.durable(edges.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), PART_ROWS)
-    checked = _verify(first, live)
+    checked = _verify(first, live, tenths)
     labels = connected_components(checked.filter("linked").select("u", "v"))
     more = S.durable(_between(edges.join(checked, ["u", "v"], "left_anti"), labels), PART_ROWS)
     if not more.isEmpty():
-        checked = checked.unionByName(_verify(more, live))
+        checked = checked.unionByName(_verify(more, live, tenths))
         labels = connected_components(checked.filter("linked").select("u", "v"))
     failed = S.durable(_between(checked.filter(~F.col("linked")).select("u", "v"), labels), PART_ROWS)
     if not failed.isEmpty():
         again = emitted.join(failed, ["u", "v"], "left_semi").select("tok", "b").distinct()
-        across = _group_edges(groups(blocks.join(again, ["tok", "b"], "left_semi"), labels), _across, parities).select("u", "v").distinct()
-        checked = checked.unionByName(_verify(S.durable(across.join(checked, ["u", "v"], "left_anti"), PART_ROWS), live))
+        across = _group_edges(groups(blocks.join(again, ["tok", "b"], "left_semi"), labels), _across, tenths, parities).select("u", "v").distinct()
+        checked = checked.unionByName(_verify(S.durable(across.join(checked, ["u", "v"], "left_anti"), PART_ROWS), live, tenths))
     return checked.filter("linked").select("u", "v")
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", parities: bool = True) -> DataFrame:
-    """(doc_id, n_shingles, class, component_id) of every document. parities: False leaves that filter out, with the same result."""
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", parities: bool = True, size: int = SHINGLE, tenths: int = TENTHS) -> DataFrame:
+    """(doc_id, n_shingles, class, component_id) of every document. parities: False leaves that filter out, with the same result.
+
+    size, tenths: words of a shingle, and tenths of the similarity from which on texts are linked (5 to 10).
+    """
     rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    popular = docs.sparkSession.sparkContext.broadcast(popular_shingles(rows))  # 16 MB, whatever the data
-    sketched = S.stored(sketches(rows, popular), "jaccard-sketches")
-    links = class_links(rows, sketched.filter("c is not null"), popular, parities)
+    popular = docs.sparkSession.sparkContext.broadcast(popular_shingles(rows, size))  # 16 MB, whatever the data
+    sketched = S.stored(sketches(rows, popular, size, tenths), "jaccard-sketches")
+    links = class_links(rows, sketched.filter("c is not null"), popular, size, tenths, parities)
     labels = connected_components(links)
     narrow = sketched.select("doc_id", "n", "c")
     classes = narrow.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("class_id"))

@@ -83,6 +83,24 @@ def test_a_failed_forest_edge_loses_no_link(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
 
 
+def test_other_shingles_and_similarities(spark):
+    for seed, size, tenths in ((4, 5, 8), (5, 2, 6)):
+        rows = corpus(seed)
+        rng = random.Random(seed)
+        base = [f"v{rng.randrange(500)}" for _ in range(300)]
+        rows += [(5000 + i, " ".join(base[: 300 - 12 * i])) for i in range(8)]
+        sets = [frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset() for w in (WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) for _, t in rows)]
+        links = [(i, j) for i, a in enumerate(sets) for j in range(i) if a & sets[j] and 10 * len(a & sets[j]) >= tenths * len(a | sets[j])]
+        root = list(range(len(rows)))
+        for i, j in links:
+            a, b = root[i], root[j]
+            root = [a if x == b else x for x in root] if a != b else root
+        least = {x: min((k for (k, _), y in zip(rows, root) if y == x and k is not None), default=None) for x in set(root)}
+        got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), size=size, tenths=tenths).collect()
+        want = [(k, len(s), least[x]) for (k, _), s, x in zip(rows, sets, root)]
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_packing():
     rng = np.random.default_rng(1)
     for n in (0, 1, 1000):

@@ -52,6 +52,15 @@ def test_near_copies_stage(spark, docs):
     assert sorted(map(str, ids)) == sorted(str(r[0]) for r in corpus()[:-1] if r[0] is None or not 300 <= r[0] < 306)
 
 
+def test_near_copies_from_four_fifths_on(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(900)}" for _ in range(200)]
+    texts = [base, base[:170], base[:150], [*base[:100], "new", *base[101:]], [*base[:50], "new", *base[51:100], "new", *base[101:150], "new", *base[151:]]]
+    texts.append([f"x{i}" if i % 25 == 0 else w for i, w in enumerate(base)])  # 8 words changed: 156 of 236 shingles
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1, "x") for i, t in enumerate(texts)], SCHEMA)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == [0, 5]
+
+
 def test_personal_data_stage(spark, docs):
     rows = {}
     out = corpus_pipeline.personal_data(spark, docs, "")
