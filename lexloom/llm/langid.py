@@ -3,11 +3,13 @@
 A text's features are the hashed byte trigrams of its lower-cased letters, square roots of
 their counts, scaled to unit length. One-versus-rest linear support vector machines choose
 the language family; inside it one-versus-one machines part each two languages, and the
-language with most duels won is chosen. All machines are trained on the driver, by dual
-coordinate descent, on a sample of at most about SAMPLE texts that is even over languages.
+language with most duels won is chosen. The machines are trained by dual coordinate
+descent on a sample that is even over languages: on the driver, or by the executors where
+there are more than DRIVER_MACHINES.
 
-The sample is the only bound: MOST_LANGUAGES languages by count are learned, and SAMPLE
-training texts are drawn by a hash of the id. Every text is read whole and classified.
+The sample is the only bound: all languages are learned, from about SAMPLE training texts
+that are drawn by a hash of the id, or LEAST_TEXTS of each language where that is more.
+Every text is read whole and classified.
 
 Defined cases: a null text and one without a letter are "und" with score 0. Texts whose
 language is null, or whose crc32 of the id is 2 modulo 4, teach nothing; a null id counts
@@ -18,16 +20,18 @@ the language first in code-point order. Other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import shared as S
 
-SAMPLE, MOST_LANGUAGES = 6000, 64
+SAMPLE, LEAST_TEXTS = 6000, 64
+#: Machines up to which the driver fits them itself.
+DRIVER_MACHINES = 64
 WIDTH = 2048
 COST, EPOCHS = 4.0, 12
 UNKNOWN = "und"
@@ -104,25 +108,50 @@ def svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def fitted(spark: SparkSession, machine: Callable, total: int, *sample: np.ndarray) -> list[np.ndarray]:
+    """The machines 0 .. total - 1 of a sample, fitted by the executors."""
+    shared = spark.sparkContext.broadcast(sample)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([machine(k, *shared.value).tobytes()])], ["k", "w"])
+
+    parts = min(total, 4 * max(spark.sparkContext.defaultParallelism, 1))
+    found = spark.range(0, total, 1, parts).mapInArrow(run, "k long, w binary").toArrow().to_pylist()
+    shared.unpersist()
+    by = {r["k"]: np.frombuffer(r["w"], dtype=np.float64) for r in found}
+    return [by[k] for k in range(total)]
+
+
 class Model:
     """Machines for families, and for each two languages of a family."""
 
-    def __init__(self, x: np.ndarray, langs: list[str]):
+    def __init__(self, x: np.ndarray, langs: list[str], spark: SparkSession | None = None):
         self.langs = sorted(set(langs))
         langs_ = np.array(langs)
         of = np.array([family_of(lang) for lang in langs])
         self.families = sorted(set(of))
         self.members = {f: [lang for lang in self.langs if family_of(lang) == f] for f in self.families}
         two = len(self.families) == 2
-        self.by_family = [svm(x, np.where(of == f, 1, -1)) for f in self.families[: 1 if two else None]] if len(self.families) > 1 else []
+        families = self.families[: 1 if two else None] if len(self.families) > 1 else []
+        pairs = [(a, b) for members in self.members.values() for i, a in enumerate(members) for b in members[i + 1 :]]
+
+        def machine(k: int, x: np.ndarray, langs_: np.ndarray, of: np.ndarray) -> np.ndarray:
+            if k < len(families):
+                return svm(x, np.where(of == families[k], 1, -1))
+            a, b = pairs[k - len(families)]
+            some = (langs_ == a) | (langs_ == b)
+            return svm(x[some], np.where(langs_[some] == a, 1, -1))
+
+        total = len(families) + len(pairs)
+        if spark is None or total <= DRIVER_MACHINES:
+            machines = [machine(k, x, langs_, of) for k in range(total)]
+        else:
+            machines = fitted(spark, machine, total, x, langs_, of)
+        self.by_family, self.duels = machines[: len(families)], dict(zip(pairs, machines[len(families) :]))
         if two:
             self.by_family.append(-self.by_family[0])
-        self.duels = {}
-        for f, members in self.members.items():
-            for i, a in enumerate(members):
-                for b in members[i + 1 :]:
-                    some = (langs_ == a) | (langs_ == b)
-                    self.duels[a, b] = svm(x[some], np.where(langs_[some] == a, 1, -1))
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray, list[str]]:
         """(languages, scores in 0 .. 1, families) of rows of features."""
@@ -161,10 +190,10 @@ def train(docs: DataFrame, key: str, text: str, lang: str) -> Model | None:
     """A model from a sample of the texts that aren't held out."""
     known = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("text"), docs[lang].cast("string").alias("lang"))
     known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("k")))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # one row for each language
     if not counts:
         return None
-    quota = SAMPLE / len(counts)
+    quota = max(SAMPLE / len(counts), LEAST_TEXTS)
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, quota / r["count"]))])
     drawn = F.pmod(F.xxhash64(F.coalesce(F.col("k").cast("string"), F.lit("")), F.lit("language")), F.lit(1 << 24)) < share[F.col("lang")] * (1 << 24)
 
@@ -176,7 +205,7 @@ def train(docs: DataFrame, key: str, text: str, lang: str) -> Model | None:
                 made = pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
                 yield made.filter(pa.array(ok))
 
-    # an expected SAMPLE rows of 8 KB, whatever the data
+    # an expected SAMPLE rows of 8 KB, or LEAST_TEXTS for each language, whatever the data
     sample = known.filter(F.coalesce(drawn, F.lit(False))).select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow().combine_chunks()
     if not sample.num_rows:
         return None
@@ -184,7 +213,7 @@ def train(docs: DataFrame, key: str, text: str, lang: str) -> Model | None:
     # read in place: as objects the rows would be held several times over
     x = np.frombuffer(cells.buffers()[2], dtype=np.float32)[: len(langs) * WIDTH].reshape(-1, WIDTH)
     order = sorted(range(len(langs)), key=lambda i: (langs[i], zlib.crc32(x[i]), i))
-    return Model(x[order], [langs[i] for i in order])
+    return Model(x[order], [langs[i] for i in order], docs.sparkSession)
 
 
 def classify(batches: Iterator[pa.RecordBatch], model: Model | None, at: int) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray, list]]:

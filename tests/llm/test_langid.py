@@ -59,6 +59,16 @@ def test_odd_rows(spark):
     assert not left & {1000, 1001, 1002} and set(range(200)) <= left
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(5)
+    codes = [f"q{a}{b}" for a in "abcdefgh" for b in "abcdefgh"] + ["en", "en-GB", "en-US", "de", "nl", "fr", "es"]
+    words = {c: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for c in codes}
+    data = [(i, " ".join(rng.choice(words[c]) for _ in range(30)), c) for i, c in enumerate(codes * 14 + codes[:50] * 3)]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()}
+    assert len(codes) > 64 and {r.lang_pred for r in got.values()} == set(codes)
+    assert all(got[k].lang_pred == c for k, _, c in data)
+
+
 @pytest.mark.parametrize("data", [[], [(2, "the of", None, "s", 1.0)], rows(30)[:1]])
 def test_little_to_learn_from(spark, data):
     got = langid.identify(spark.createDataFrame(data, SCHEMA)).collect()
