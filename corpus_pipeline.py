@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from lexloom.llm import bpe, jaccard, langid, mixing, pii
 from lexloom.llm import shared as S
 
-#: The least score of a recognised language; two families and two languages of each give 0.25 by chance.
+#: The least certainty of a recognised language; a toss-up between two families and two languages gives 0.25, however many there are.
 LEAST_SCORE = 0.3
 #: Words of a shingle and tenths of the similarity of near copies.
 NEAR_WORDS, NEAR_TENTHS = 5, 8

@@ -153,8 +153,12 @@ class Model:
         if two:
             self.by_family.append(-self.by_family[0])
 
-    def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray, list[str]]:
-        """(languages, scores in 0 .. 1, families) of rows of features."""
+    def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray, list[str], np.ndarray]:
+        """(languages, scores in 0 .. 1, families, certainties in 0 .. 1) of rows of features.
+
+        A certainty is the chance of the family against the next one times that of the language
+        against the one it does worst against, so it doesn't fall with the number of languages.
+        """
         margin = lambda w, rows: rows @ w[:-1].astype(np.float32) + w[-1]
         n = len(x)
         if self.by_family:
@@ -162,12 +166,14 @@ class Model:
             best = margins.argmax(axis=1)
             odds = np.exp(2 * (margins - margins.max(axis=1, keepdims=True)))
             score = 1 / odds.sum(axis=1)
+            certain = 1 / (1 + np.partition(odds, -2, axis=1)[:, -2])
         else:
-            best, score = np.zeros(n, dtype=np.int64), np.ones(n)
+            best, score, certain = np.zeros(n, dtype=np.int64), np.ones(n), np.ones(n)
         langs, families = np.empty(n, dtype=object), np.array(self.families, dtype=object)[best]
         for k, f in enumerate(self.families):
             rows, members = np.flatnonzero(best == k), self.members[f]
             wins, sure = np.zeros((len(rows), len(members))), np.zeros((len(rows), len(members)))
+            worst = np.ones((len(rows), len(members)))
             for i, a in enumerate(members):
                 for j in range(i + 1, len(members)):
                     p = 1 / (1 + np.exp(-4 * np.clip(margin(self.duels[a, members[j]], x[rows]), -20, 20)))
@@ -175,11 +181,14 @@ class Model:
                     wins[:, j] += p < 0.5
                     sure[:, i] += p
                     sure[:, j] += 1 - p
+                    worst[:, i] = np.minimum(worst[:, i], p)
+                    worst[:, j] = np.minimum(worst[:, j], 1 - p)
             chosen = (wins + sure / (len(members) + 1)).argmax(axis=1) if len(rows) else np.zeros(0, dtype=np.int64)
             langs[rows] = np.array(members, dtype=object)[chosen]
+            certain[rows] *= worst[np.arange(len(rows)), chosen]
             if len(members) > 1:
                 score[rows] *= sure[np.arange(len(rows)), chosen] / (len(members) - 1)
-        return langs.tolist(), np.clip(score, 0, 1), families.tolist()
+        return langs.tolist(), np.clip(score, 0, 1), families.tolist(), np.clip(certain, 0, 1)
 
 
 def held_out(key: Column) -> Column:
@@ -216,20 +225,20 @@ def train(docs: DataFrame, key: str, text: str, lang: str) -> Model | None:
     return Model(x[order], [langs[i] for i in order], docs.sparkSession)
 
 
-def classify(batches: Iterator[pa.RecordBatch], model: Model | None, at: int) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray, list]]:
-    """Each part of the batches with its texts' languages, scores and families; at: the texts' column."""
+def classify(batches: Iterator[pa.RecordBatch], model: Model | None, at: int) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray, list, np.ndarray]]:
+    """Each part of the batches with its texts' languages, scores, families and certainties; at: the texts' column."""
     for batch in batches:
         for i, j, data, offsets in S.slices(batch.column(at)):
             part = batch.slice(i, j - i)
             ok = has_letter(part.column(at), data, offsets)
             if model is None:
-                langs, score, families = [UNKNOWN] * len(ok), np.zeros(len(ok)), [None] * len(ok)
+                langs, score, families, certain = [UNKNOWN] * len(ok), np.zeros(len(ok)), [None] * len(ok), np.zeros(len(ok))
             else:
-                langs, score, families = model.predict(features(data, offsets))
+                langs, score, families, certain = model.predict(features(data, offsets))
                 langs = [x if y else UNKNOWN for x, y in zip(langs, ok)]
                 families = [x if y else None for x, y in zip(families, ok)]
                 score = np.where(ok, score, 0.0)
-            yield part, langs, score, families
+            yield part, langs, score, families, certain
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -237,7 +246,7 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, key, text, lang))  # a few vectors for each pair of languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, langs, score, families in classify(batches, shared.value, 2):
+        for part, langs, score, families, _ in classify(batches, shared.value, 2):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(langs, pa.string()), pa.array(score), pa.array(families, pa.string())], [f.split()[0] for f in SCHEMA.split(", ")])
 
     rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), held_out(docs[key]).alias("held_out"), docs[text].cast("string").alias("text"))
@@ -245,12 +254,12 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
 
 def keep_identified(docs: DataFrame, least: float, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents, as they are, whose language is known with a score of at least ``least``."""
+    """The documents, as they are, whose language is known with a certainty of at least ``least``."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, key, text, lang))
     at = S.batched(docs).columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, langs, score, _ in classify(batches, shared.value, at):
-            yield part.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(langs, score)], pa.bool_()))
+        for part, langs, _, _, certain in classify(batches, shared.value, at):
+            yield part.filter(pa.array([x != UNKNOWN and c >= least for x, c in zip(langs, certain)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from lexloom.llm import langid
@@ -69,6 +70,17 @@ def test_every_language_is_learned(spark):
     assert all(got[k].lang_pred == c for k, _, c in data)
 
 
+def test_certainty_does_not_fall_with_the_number_of_families():
+    model = langid.Model.__new__(langid.Model)
+    for n in (3, 40, 400):
+        model.langs = model.families = [f"q{i:03}" for i in range(n)]
+        model.members, model.duels = {f: [f] for f in model.families}, {}
+        bias = [1.0] + [0.0] * (n - 1)  # the best family is ahead of all others by 1
+        model.by_family = [np.append(np.zeros(langid.WIDTH), b) for b in bias]
+        langs, _, _, certain = model.predict(np.zeros((1, langid.WIDTH), dtype=np.float32))
+        assert langs == ["q000"] and abs(certain[0] - 1 / (1 + np.exp(-2))) < 1e-9
+
+
 @pytest.mark.parametrize("data", [[], [(2, "the of", None, "s", 1.0)], rows(30)[:1]])
 def test_little_to_learn_from(spark, data):
     got = langid.identify(spark.createDataFrame(data, SCHEMA)).collect()
