@@ -15,7 +15,8 @@ table in the shared folder and read again as the next one's ``docs``.
    the text they decode to.
 
 Defined cases: as in the operators. A row without an id is never a near copy, since no id
-can name it. Rows that repeat an id: the near_copies stage keeps one of them.
+can name it. Rows that repeat an id are told apart by their texts: the near_copies stage
+drops those that are near copies of a kept row, and keeps those without a word.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from lexloom.llm import shared as S
 LEAST_SCORE = 0.3
 #: Words of a shingle and tenths of the similarity of near copies.
 NEAR_WORDS, NEAR_TENTHS = 5, 8
+NEAR_CLASS, NEAR_ROOT = "near_copies_class", "near_copies_root"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +41,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard.jaccard_components(docs, size=NEAR_WORDS, tenths=NEAR_TENTHS)
     # ids to drop, and ids that stand on several rows; both are short beside the documents
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(S.durable(gone), "doc_id", "left_anti").select(*docs.columns)
+    gone = S.durable(found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
     repeated = S.durable(found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone.union(repeated).distinct(), "doc_id", "left_anti").select(*docs.columns)
+    several = jaccard.with_class(docs.join(repeated, "doc_id", "left_semi").select(*docs.columns), NEAR_CLASS, size=NEAR_WORDS)
+    # of each component whose least id is repeated, one row with that id
+    least = found.filter(F.col("doc_id") == F.col("component_id")).join(repeated, "doc_id", "left_semi")
+    roots = least.filter("root is not null").select("doc_id", F.col("class").alias(NEAR_CLASS), F.col("root").alias(NEAR_ROOT)).distinct()
+    told = several.join(roots, ["doc_id", NEAR_CLASS]).dropDuplicates([NEAR_ROOT]).select(*docs.columns)
+    wordless = several.filter(F.col(NEAR_CLASS).isNull()).select(*docs.columns)
+    return kept.unionByName(told).unionByName(wordless)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lexloom.llm import shared as S
 from lexloom.llm.components import connected_components
@@ -458,8 +459,21 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, size: int, tenths
     return checked.filter("linked").select("u", "v")
 
 
+def with_class(docs: DataFrame, name: str, text: str = "text", size: int = SHINGLE) -> DataFrame:
+    """The documents with the class of each text, as jaccard_components gives it, in a new column."""
+    at, columns = docs.columns.index(text), [*docs.columns, name]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in S.slices(batch.column(at)):
+                names = [class_name(s).hex() if len(s) else None for s in shingles(data, offsets, size)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, pa.array(names, pa.string())], columns)
+
+    return S.batched(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, StringType())]))
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", parities: bool = True, size: int = SHINGLE, tenths: int = TENTHS) -> DataFrame:
-    """(doc_id, n_shingles, class, component_id) of every document. parities: False leaves that filter out, with the same result.
+    """(doc_id, n_shingles, class, component_id, root) of every document; root: a class that only its component has. parities: False leaves that filter out, with the same result.
 
     size, tenths: words of a shingle, and tenths of the similarity from which on texts are linked (5 to 10).
     """
@@ -472,7 +486,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = narrow.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("class_id"))
     linked = classes.join(labels.withColumnRenamed("node", "c"), "c")
     least = linked.groupBy("root").agg(F.min("class_id").alias("least"))
-    named = S.durable(classes.join(linked.join(least, "root").select("c", "least"), "c", "left"))
+    named = S.durable(classes.join(linked.join(least, "root").select("c", "least", "root"), "c", "left"))
     out = narrow.join(named, "c", "left")
     alone = F.when(F.col("c").isNull(), F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.lower(F.hex("c")).alias("class"), F.coalesce("least", "class_id", alone).alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.lower(F.hex("c")).alias("class"), F.coalesce("least", "class_id", alone).alias("component_id"), F.lower(F.hex(F.coalesce("root", "c"))).alias("root"))

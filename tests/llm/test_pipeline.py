@@ -61,6 +61,18 @@ def test_near_copies_from_four_fifths_on(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == [0, 5]
 
 
+def test_near_copies_of_rows_that_share_an_id(spark):
+    rng = random.Random(9)
+    a, b, c, d = ([f"w{rng.randrange(9000)}" for _ in range(100)] for _ in range(4))
+    rows = [(1, a), (2, a[:98]), (2, b), (3, b[:98]), (3, c), (3, c[:98]), (3, c), (4, d), (4, d[:98]), (5, d[1:]), (4, a[1:]), (6, b[1:]), (7, []), (7, []), (None, c)]
+    docs = spark.createDataFrame([(k, " ".join(t), "en", "s", 1, "x") for k, t in rows], SCHEMA)
+    got = corpus_pipeline.near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    first = {a[2]: "a", b[2]: "b", c[2]: "c", d[2]: "d"}
+    kept = sorted(((r.doc_id, next((first[w] for w in r.text.split() if w in first), "")) for r in got.collect()), key=str)
+    assert kept == sorted([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (7, ""), (7, ""), (None, "c")], key=str)
+
+
 def test_personal_data_stage(spark, docs):
     rows = {}
     out = corpus_pipeline.personal_data(spark, docs, "")
