@@ -2,23 +2,29 @@
 
 The merges are compiled in order, each as one gadget. At first there is one state with an
 arc for every byte. Merging u and v adds the arc uv wherever u and then v could be taken,
-and splits the state after u: its copy lacks the arc v. The automaton that remains after
-the last merge accepts exactly the token sequences that the merges produce, so a word has
-one accepted sequence, and so has each of its prefixes. States share their arcs with the
-state they were split from: a state keeps only the arc it lost and when, and an arc's
-existence is read from the splits along two chains (see ``Automaton.arc``). Arcs that
-were once asked for are kept in a transition table.
-
-Encoding cuts a text into words as the vocabulary's pre-tokenizer does, then runs each
-word through the table, the longest arc along a byte trie first. Decoding emits the arc
-labels, the tokens' bytes.
-
-Which characters are letters, digits and white space is asked of the tokenizers library
-itself: its Unicode version differs from Python's.
+and splits the state after u: the arcs u now lead to its copy, which lacks the arc v. The
+automaton that remains after the last merge accepts exactly the token sequences that the
+merges produce, so a word has one accepted sequence, and so has each of its prefixes. A
+state is stored as the arc it lost; its other arcs are those of the state it was split
+from (default arcs), or were laid along them later.
+
+To read bytes, that automaton is determinised over the trie of the tokens' bytes: a state
+of the byte automaton holds pairs of a token state and the trie node reached since, and
+the token that ends here, of which there is exactly one. Its transition table is filled
+by the subset construction as bytes are met, so encoding is one table step a byte, without
+going back. The labels of the arcs taken are read off from the last place on. Decoding
+emits the arc labels, the tokens' bytes.
+
+A text is cut into words as the vocabulary's pre-tokenizer does. Which characters are
+letters, digits and white space is asked of the tokenizers library itself: its Unicode
+version differs from Python's.
 
 Defined cases: null is the empty text, of no tokens. Repeated rows give repeated results.
-The string of an added token in a text becomes that token, as in the library. Columns
-other than key and text are not read.
+A very long text or word takes time in proportion to its length; a full table is begun
+anew. The string of an added token in a text becomes that token, as in the library;
+vocabularies whose added tokens strip white space, match whole words or normalised text,
+or that make one token by two merges, are refused. Columns other than key and text are not
+read.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ import hashlib
 import json
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +45,8 @@ from lexloom.llm.shared import batched
 
 #: Words kept with their tokens in a worker, in each of two generations, and characters above which a word isn't kept.
 CACHED_WORDS, CACHED_CHARS = 150_000, 48
-#: Arcs kept in a worker's transition table.
-CACHED_ARCS = 300_000
-TOKEN = -1
+#: States of the byte automaton that a worker keeps, and bytes of a word between two looks at their number.
+TABLE_STATES, PIECE = 100_000, 4096
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -52,96 +58,130 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+class Table(dict):
+    """State and byte to the next state, made by ``step`` when it is first asked for."""
+
+    def __init__(self, step):
+        super().__init__()
+        self.step = step
+
+    def __missing__(self, key: int) -> int:
+        after = self[key] = self.step(key >> 8, key & 255)
+        return after
+
+
 class Automaton:
-    """The token automaton of a list of merges. Labels are token ids."""
+    """The token automaton of a list of merges, and the byte automaton that reads it. Labels are token ids."""
+
+    START = 0
 
     def __init__(self, vocabulary: dict[str, int], merges: list):
         to_byte = {c: b for b, c in enumerate(byte_characters())}
         self.labels = {i: bytes(to_byte[c] for c in token) for token, i in vocabulary.items()}
+        # labels: the gadget each was laid by (-1 for bytes), the label it was laid along, and the state its arcs lead to
+        self.born = {i: -1 for i, label in self.labels.items() if len(label) == 1}
         self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
-        self.born: dict[int, int] = {}
-        self.lost: dict[int, int] = {}  # (u, v) -> the step at which the state after u lost its arc v
-        self.arcs: dict[int, bool] = {}
-        for step, pair in enumerate(merges):
+        self.target = dict.fromkeys(self.born, self.START)
+        # token states: the label whose arcs lead there and, for each such label, the state that was split first
+        self.after = array("l", [-1])
+        self.beneath = dict.fromkeys(self.born, self.START)
+        self.lost: dict[int, int] = {}  # (label, arc) -> the first state after that label without the arc
+        for pair in merges:
             u, v = pair.split(" ") if isinstance(pair, str) else pair
-            self.add_gadget(step, vocabulary[u], vocabulary[v], vocabulary[u + v])
-        self.trie: dict = {}  # byte -> node; the token that ends at a node is under TOKEN
-        for i, label in self.labels.items():
-            if len(label) == 1 or i in self.born:
-                node = self.trie
-                for byte in label:
-                    node = node.setdefault(byte, {})
-                node[TOKEN] = i
-
-    def add_gadget(self, step: int, u: int, v: int, uv: int) -> None:
-        """Merge u and v: the state after u is split, and the state after uv is that after v as it now is."""
-        self.lost[u << 20 | v] = step
-        if uv not in self.born:
-            self.left[uv], self.right[uv], self.born[uv] = u, v, step
-
-    def arc(self, a: int, b: int) -> bool:
-        """Whether the state after token a has the arc b.
-
-        The state after a was split from that after a's right part, as that was when a was
-        made; the arc b was laid along the arc of b's left part, as that was when b was made.
+            self.add_gadget(vocabulary[u], vocabulary[v], vocabulary[u + v])
+        # the trie of the labels' bytes
+        self.child: dict[int, int] = {}
+        self.ends = array("l", [-1])
+        for i in self.born:
+            node = 0
+            for byte in self.labels[i]:
+                node = self.child.setdefault(node << 8 | byte, len(self.ends))
+                if node == len(self.ends):
+                    self.ends.append(-1)
+            self.ends[node] = i
+        self.inner = bytearray(len(self.ends))  # nodes from which the trie goes on
+        for at in self.child:
+            self.inner[at >> 8] = 1
+        self.clear()
+
+    def add_gadget(self, u: int, v: int, uv: int) -> None:
+        """Merge u and v: arcs uv lead where arcs v did, and arcs u to a split of the state after u, which lacks v.
+
+        Where v can't follow u, since an earlier merge always takes one of them, there is nothing to do.
         """
-        before = 1 << 30
-        while True:
-            y, until = b, 1 << 30
+        if u not in self.born or v not in self.born or not self.arc(self.target[u], v):
+            return
+        if uv in self.born:
+            raise ValueError(f"token {uv} is made by two merges")
+        state = len(self.after)  # each gadget splits one state, so a state's number is its gadget's and one more
+        self.born[uv], self.left[uv] = state - 1, u
+        self.target[uv] = self.beneath[uv] = self.target[v]
+        self.after.append(u)
+        self.lost[u << 32 | v] = state
+        self.target[u] = state
+
+    def arc(self, state: int, label: int) -> bool:
+        """Whether a token state has an arc. The start has all."""
+        while state != self.START:
+            after, at, last = self.after[state], label, state
             while True:
-                step = self.lost.get(a << 20 | y)
-                if step is not None and step < before and step <= until:
+                first = self.lost.get(after << 32 | at)
+                if first is not None and first <= last:
                     return False
-                until = self.born.get(y)
-                if until is None:
+                laid = self.born[at]
+                if laid < 0:
                     break
-                y = self.left[y]
-            before = self.born.get(a)
-            if before is None:
-                return True
-            a = self.right[a]
+                # the arc lies along its left part's, as that was in the states there were then
+                last, at = min(last, laid + 1), self.left[at]
+            state = self.beneath[after]
+        return True
+
+    def clear(self) -> None:
+        """Empties the byte automaton but for its first state: no bytes, no token."""
+        self.table = Table(self.step)
+        self.parts = [(-1, 0, self.START)]  # of each state: the token that ends here, then trie nodes and token states
+        self.number, self.token = {self.parts[0]: 0}, [-1]
+
+    def step(self, state: int, byte: int) -> int:
+        """The state after a byte: the pairs that go on in the trie, and the one of the token that ends here."""
+        child, ends, token = self.child.get, self.ends, -1
+        after = [token]
+        each = iter(self.parts[state])
+        next(each)
+        for node, taken in zip(each, each):
+            node = child(node << 8 | byte)
+            if node is not None:
+                if self.inner[node]:
+                    after += (node, taken)
+                if token < 0 and ends[node] >= 0 and (taken == self.START or self.arc(taken, ends[node])):
+                    token = ends[node]
+        after += (0, self.target[token])
+        after[0] = token
+        return self._numbered(tuple(after))
+
+    def _numbered(self, state: tuple) -> int:
+        made = self.number.get(state)
+        if made is None:
+            made = self.number[state] = len(self.parts)
+            self.parts.append(state)
+            self.token.append(state[0])
+        return made
 
     def encode(self, word: bytes) -> list[int]:
-        """The accepted tokens of a word: the longest arc first, stepping back from dead ends.
-
-        A prefix has one accepted sequence, so no place is reached twice.
-        """
-        n, arcs = len(word), self.arcs
-        path, open_ = [], []  # tokens taken, and the shorter arcs left at each place they were taken from
-        at, last = 0, -1
-        while at < n:
-            node, ways = self.trie, []
-            for e in range(at, n):
-                node = node.get(word[e])
-                if node is None:
-                    break
-                if TOKEN in node:
-                    ways.append((e + 1, node[TOKEN]))
-            while True:
-                while ways:
-                    end, token = ways.pop()
-                    if last < 0:
-                        break
-                    key = last << 20 | token
-                    ok = arcs.get(key)
-                    if ok is None:
-                        if len(arcs) >= CACHED_ARCS:
-                            arcs.clear()
-                        ok = arcs[key] = self.arc(last, token)
-                    if ok:
-                        break
-                else:
-                    # a dead end: back to the place before
-                    ways = open_.pop()
-                    path.pop()
-                    last = path[-1] if path else -1
-                    continue
-                break
-            open_.append(ways)
-            path.append(token)
-            at, last = end, token
-        return path
+        """The accepted tokens of a word, by one step for each byte."""
+        state, taken = 0, []
+        for i in range(0, len(word), PIECE):
+            if len(self.parts) >= TABLE_STATES:
+                here = self.parts[state]
+                self.clear()
+                state = self._numbered(here)
+            table, token = self.table, self.token
+            taken += [token[state := table[state << 8 | byte]] for byte in word[i : i + PIECE]]
+        out, at, labels = [], len(word), self.labels
+        while at:
+            out.append(taken[at - 1])
+            at -= len(labels[out[-1]])
+        return out[::-1]
 
 
 def character_classes(tokenizer) -> dict[str, list]:
@@ -253,6 +293,8 @@ def codec_spec(path: str) -> dict:
     plain = pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not described["normalizer"] and not model.get("ignore_merges")
     if model["type"] != "BPE" or not plain:
         raise ValueError(f"{path} is not a plain byte-level BPE vocabulary")
+    if any(t[flag] for t in described["added_tokens"] for flag in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError(f"{path} has added tokens that match more than their string")
     return {
         "vocabulary": model["vocab"],
         "merges": model["merges"],
