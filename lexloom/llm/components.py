@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm import shared as S
@@ -17,8 +17,9 @@ def _stars(edges: DataFrame, large: bool, parts: int) -> DataFrame:
         around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         around = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = F.least(F.min("v").over(Window.partitionBy("u")), F.col("u"))
-    seen = around.withColumn("m", least)
+    # partial minima meet the edges again in a join, whose hot nodes the engine splits: a window would take a node's edges in one task
+    least = around.groupBy("u").agg(F.min("v").alias("m"))
+    seen = around.join(least, "u").withColumn("m", F.least("m", "u"))
     if large:
         made = seen.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -35,11 +35,11 @@ its ids are null. Columns other than key and text are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -121,8 +121,13 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.int64)[gaps != 65535]
 
 
-def popular_shingles(rows: DataFrame, size: int) -> np.ndarray:
-    """Two bitmaps, of the common and of the popular shingles of all texts (a table of text)."""
+def repeated_levels(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> DataFrame:
+    """(bucket, level, n, piece): for each power of 2, a bitmap in pieces of the 64-bit values that occur so often.
+
+    values: lists of values of a batch. They are counted by their first 32 bits, packed as
+    sorted differences: about two bytes a value are shuffled, to buckets that are even
+    whatever the values, and a value that repeats in a task costs no more than its count.
+    """
     spark = rows.sparkSession
     buckets = 1 << max(6, (S.shuffle_width(spark) - 1).bit_length())
     step, bits = (1 << 32) // buckets, (1 << BITMAP_BITS) // buckets
@@ -131,16 +136,15 @@ def popular_shingles(rows: DataFrame, size: int) -> np.ndarray:
         held, total = [], 0
 
         def packed() -> pa.RecordBatch:
-            values = np.sort(np.concatenate(held))
-            cuts = np.searchsorted(values, np.arange(buckets + 1) * step)
+            all_ = np.sort(np.concatenate(held))
+            cuts = np.searchsorted(all_, np.arange(buckets + 1) * step)
             full = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([_pack(values[cuts[b] : cuts[b + 1]] - b * step) for b in full], pa.binary())], ["bucket", "gaps"])
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([_pack(all_[cuts[b] : cuts[b + 1]] - b * step) for b in full], pa.binary())], ["bucket", "gaps"])
 
         for batch in batches:
-            for _, _, data, offsets in S.slices(batch.column(0)):
-                for s in shingles(data, offsets, size):
-                    held.append((s >> np.uint64(32)).astype(np.int64))
-                    total += len(s)
+            for s in values(batch):
+                held.append((s >> np.uint64(32)).astype(np.int64))
+                total += len(s)
                 if total > 1 << 22:
                     yield packed()
                     held, total = [], 0
@@ -148,16 +152,15 @@ def popular_shingles(rows: DataFrame, size: int) -> np.ndarray:
             yield packed()
 
     def by_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each bucket and power of 2, the shingles that occur so often, as a piece of a bitmap."""
 
         def pieces(bucket: int, parts: list[bytes]) -> pa.RecordBatch:
-            values = np.sort(np.concatenate([_unpack(p) for p in parts]))
-            kinds = np.flatnonzero(np.diff(values, prepend=-1))
-            level = np.log2(np.diff(np.append(kinds, len(values)))).astype(np.int32)
+            all_ = np.sort(np.concatenate([_unpack(p) for p in parts]))
+            kinds = np.flatnonzero(np.diff(all_, prepend=-1))
+            level = np.log2(np.diff(np.append(kinds, len(all_)))).astype(np.int32)
             out = []
             for k in np.unique(level[level > 0]).tolist():
                 mine = np.zeros(bits, dtype=bool)
-                mine[values[kinds[level == k]] >> (32 - BITMAP_BITS)] = True
+                mine[all_[kinds[level == k]] >> (32 - BITMAP_BITS)] = True
                 out.append((bucket, k, int((level == k).sum()), zlib.compress(np.packbits(mine, bitorder="little").tobytes(), 1)))
             columns = zip(*out) if out else ((), (), (), ())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["bucket", "level", "n", "piece"])
@@ -173,21 +176,45 @@ def popular_shingles(rows: DataFrame, size: int) -> np.ndarray:
         if parts:
             yield pieces(now, parts)
 
-    packed_rows = rows.select("text").mapInArrow(count, "bucket int, gaps binary")
-    levels = S.durable(packed_rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(by_level, "bucket int, level int, n long, piece binary"))
+    packed_rows = rows.mapInArrow(S.trimmed(count), "bucket int, gaps binary")
+    return S.durable(packed_rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(S.trimmed(by_level), "bucket int, level int, n long, piece binary"))
+
+
+def bitmaps(levels: DataFrame, *least: int) -> np.ndarray:
+    """For each of the levels given, a bitmap of the values that occur 2 ** level times or more."""
+    out = np.zeros((len(least), 1 << (BITMAP_BITS - 3)), dtype=np.uint8)
+    size = out.shape[1] // (1 << max(6, (S.shuffle_width(levels.sparkSession) - 1).bit_length()))
+    for r in levels.filter(F.col("level") >= min(least)).toLocalIterator():  # a bitmap's size for each level
+        piece = np.frombuffer(zlib.decompress(r["piece"]), dtype=np.uint8)
+        for k, level in enumerate(least):
+            if r["level"] >= level:
+                out[k, r["bucket"] * size : (r["bucket"] + 1) * size] |= piece
+    return out.view(np.uint64)
+
+
+def popular_shingles(rows: DataFrame, size: int) -> np.ndarray:
+    """Two bitmaps, of the common and of the popular shingles of all texts (a table of text)."""
+
+    def of_texts(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, data, offsets in S.slices(batch.column(0)):
+            yield from shingles(data, offsets, size)
+
+    levels = repeated_levels(rows.select("text"), of_texts)
     known = {r[0]: r[1] for r in levels.groupBy("level").agg(F.sum("n")).collect()}  # at most 31 rows
     common = 1
     while sum(n for k, n in known.items() if k >= common) > MOST_COMMON:
         common += 1
-    popular = max(POPULAR, common + 1)
-    out = np.zeros((2, 1 << (BITMAP_BITS - 3)), dtype=np.uint8)
-    for r in levels.filter(F.col("level") >= common).toLocalIterator():  # a bitmap's size for each level
-        piece = np.frombuffer(zlib.decompress(r["piece"]), dtype=np.uint8)
-        at = slice(r["bucket"] * bits // 8, (r["bucket"] + 1) * bits // 8)
-        for k, least in enumerate((common, popular)):
-            if r["level"] >= least:
-                out[k, at] |= piece
-    return out.view(np.uint64)
+    return bitmaps(levels, common, max(POPULAR, common + 1))
+
+
+def repeated_tokens(sketched: DataFrame, prefix: str) -> np.ndarray:
+    """A bitmap that holds every token in the prefixes of two rows or more, and some others."""
+
+    def of_prefixes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for p in batch.column(0).to_pylist():
+            yield np.frombuffer(p, "<u8")
+
+    return bitmaps(repeated_levels(sketched.select(prefix), of_prefixes), 1)[0]
 
 
 # ---------------------------------------------------------------- sketches
@@ -232,7 +259,7 @@ def sketches(rows: DataFrame, popular, size: int, tenths: int) -> DataFrame:
                 first = [prefix(s, popular.value, 1, tenths) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array(first, pa.binary())], ["doc_id", "n", "c", "p1"])
 
-    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, c binary, p1 binary")
+    return rows.select("doc_id", "text").mapInArrow(S.trimmed(run), "doc_id long, n long, c binary, p1 binary")
 
 
 def whole_sets(rows: DataFrame, wanted: DataFrame, popular, size: int, tenths: int) -> DataFrame:
@@ -252,27 +279,36 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, popular, size: int, tenths: i
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64() if name == "n" else pa.binary()) for name, x in zip(names, cells)], names)
 
     schema = ", ".join(f"{x} {'long' if x == 'n' else 'binary'}" for x in names)
-    made = rows.select("text", place.alias("pos")).mapInArrow(run, schema).dropDuplicates(["c"])
+    made = rows.select("text", place.alias("pos")).mapInArrow(S.trimmed(run), schema).dropDuplicates(["c"])
     return S.stored(made.join(wanted.select("c"), "c", "left_semi"), "jaccard-sets")
 
 
 def _shared_tokens(sketched: DataFrame, prefix: str) -> DataFrame:
-    """(tok, c, k): the prefix tokens that k >= 2 classes have, with these classes."""
+    """(tok, c, k): the prefix tokens that k >= 2 classes have, with these classes.
+
+    A bitmap drops most of the others before the shuffle. Classes of a token are counted in
+    partial sums, and meet their count in a join whose hot tokens the engine splits.
+    """
+    some = sketched.sparkSession.sparkContext.broadcast(repeated_tokens(sketched, prefix))  # 8 MB, whatever the data
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = batch.filter(batch.column(0).is_valid())
-            for i in range(0, kept.num_rows, 4096):
-                part = kept.slice(i, 4096)
-                lists = [np.frombuffer(x, "<i8") for x in part.column(1).to_pylist()]
-                at = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists)), part.column(0).take(pa.array(at))], ["tok", "c"])
+            for i in range(0, batch.num_rows, 4096):
+                part = batch.slice(i, 4096)
+                lists = [np.frombuffer(x, "<u8") for x in part.column(1).to_pylist()]
+                if not lists:
+                    continue
+                toks, at = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+                kept = _has(some.value, _place(toks))
+                yield pa.RecordBatch.from_arrays([pa.array(toks[kept].view("<i8")), part.column(0).take(pa.array(at[kept]))], ["tok", "c"])
+
+    return _counted(S.durable(sketched.select("c", prefix).mapInArrow(S.trimmed(flat), "tok long, c binary").distinct()))
+
 
-    posted = sketched.select("c", prefix).mapInArrow(flat, "tok long, c binary")
-    # one shuffle: the distinct rows and the counts keep its partitioning by token
-    once = posted.repartition("tok").distinct()
-    return once.withColumn("k", F.count("*").over(Window.partitionBy("tok"))).filter(F.col("k") > 1)
+def _counted(posted: DataFrame) -> DataFrame:
+    """The rows (tok, c) whose token has two classes or more, with their number k."""
+    counts = posted.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1")
+    return posted.select("tok", "c").join(counts, "tok")
 
 
 def _near(n: np.ndarray, m: int, tenths: int) -> np.ndarray:
@@ -376,7 +412,7 @@ def _group_edges(grouped: DataFrame, choose, tenths: int, parities: bool) -> Dat
         if held is not None and held.num_rows:
             yield edges(held)
 
-    return grouped.mapInArrow(run, "tok long, b long, u binary, v binary")
+    return grouped.mapInArrow(S.trimmed(run), "tok long, b long, u binary, v binary")
 
 
 def _blocks(posted: DataFrame) -> DataFrame:
@@ -411,7 +447,7 @@ def _verify(edges: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
     halves = [some.join(sets.select(F.col("c").alias(end), *[F.col(x).alias(x + end) for x in [*others, "s"]]), end) for end in ("u", "v")]
     met = halves[0].join(halves[1], ["u", "v"])
     columns = [x + end for end in ("u", "v") for x in [*others, "s"]]
-    return S.durable(met.select("u", "v", *columns).mapInArrow(run, "u binary, v binary, linked boolean"), PART_ROWS)
+    return S.durable(met.select("u", "v", *columns).mapInArrow(S.trimmed(run), "u binary, v binary, linked boolean"), PART_ROWS)
 
 
 def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -431,9 +467,8 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, size: int, tenths
     for k in range(2, ORDERS + 1):
         shared = _shared_tokens(live.select("c", f"p{k}").join(alive, "c", "left_semi"), f"p{k}")
         alive = S.durable(shared.select("c").distinct(), PART_ROWS)
-    left = posted.select("tok", "c").join(alive, "c", "left_semi")
-    left = left.withColumn("k", F.count("*").over(Window.partitionBy("tok"))).filter(F.col("k") > 1)
-    blocks = S.durable(_blocks(left), PART_ROWS)
+    left = S.durable(posted.select("tok", "c").join(alive, "c", "left_semi"), PART_ROWS)
+    blocks = S.durable(_blocks(_counted(left)), PART_ROWS)
     payload = live.select("c", "n", "sig")
 
     def groups(of: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -469,7 +504,7 @@ def with_class(docs: DataFrame, name: str, text: str = "text", size: int = SHING
                 names = [class_name(s).hex() if len(s) else None for s in shingles(data, offsets, size)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, pa.array(names, pa.string())], columns)
 
-    return S.batched(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, StringType())]))
+    return S.batched(docs).mapInArrow(S.trimmed(run), StructType([*docs.schema.fields, StructField(name, StringType())]))
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", parities: bool = True, size: int = SHINGLE, tenths: int = TENTHS) -> DataFrame:

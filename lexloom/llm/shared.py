@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +23,14 @@ BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset and all runs on this machine (tests)."""
     sc = spark.sparkContext
-    known = spark.conf.get("spark.checkpoint.dir", None)
+    known = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if known:
         return known
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexloom-"))
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexloom-"))
     return sc.getCheckpointDir()
 
 
@@ -62,6 +65,21 @@ def batched(df: DataFrame) -> DataFrame:
     return df
 
 
+def trimmed(run: Callable) -> Callable:
+    """A function of batches that hands freed memory back when its task ends. Workers live on, and would keep it beside the engine's."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
