@@ -10,10 +10,10 @@ the driver. It estimates each labeler's reliability for each kind and each candi
 probability, and with these as soft labels a naive Bayes span classifier over features
 and votes is fitted in closed form. Its log-odds go back into the plan as a literal map.
 
-Spans that pass a base kind's checks always stay, and matches that fail them never come
-back; nor is a candidate added that any labeler votes against. The classifier adds weaker candidates
-that it accepts and that overlap no base span: local phone numbers, masked e-mail
-addresses, hexadecimal secrets and social security numbers.
+Spans that pass a base kind's checks always stay, and matches that fail their kind's format
+never come back. The classifier alone decides on weaker candidates that overlap no base
+span: local phone numbers, masked e-mail addresses, hexadecimal secrets and social security
+numbers.
 
 Offsets are code points, end exclusive. Defined cases: null is the empty text, of no
 spans. Repeated rows give repeated results. Columns other than key and text are not read.
@@ -45,10 +45,10 @@ PATTERNS = {
 }
 #: Weaker candidates, tried in this order at each place.
 WEAKER = {
-    "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}+(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{1,63})++",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]++)++",
 }
 #: Something each pattern needs, looked for first.
 NEEDS = {"email": "@", "phone": "+", "ip": "."}
@@ -59,9 +59,9 @@ LEFT, RIGHT = 24, 4
 #: A weaker candidate is accepted from this probability on.
 ACCEPT = 0.8
 ROUNDS = 25
-#: A labeler is believed to vote like this on true and on false candidates, with the weight of this share of all counts.
+#: Before any candidate is seen, a labeler is believed to vote like this on true and on false ones, as if so many of each had been.
 LEAN = {1: (0.6, 0.15), 0: (0.3, 0.35), -1: (0.1, 0.5)}
-LEAN_SHARE = 0.25
+LEAN_CANDIDATES = 20
 
 # The gazetteers and cue words.
 DOMAINS = "com|net|org|edu|gov|mil|int|info|biz|io|de|fr|es|uk|it|nl|at|ch|be|eu|us|ca|jp|cn|ru|br|au|mx"
@@ -76,7 +76,7 @@ CUES = {
     "secret": r"token|secret|passw|api.?key|\bkey\b|credential|bearer",
     "ssn": "ssn|social security|tax id",
 }
-AGAINST = r"version|isbn|page|figure|serial|order|sha1|sha256|md5|commit|checksum"
+AGAINST = r"\b(version|isbn|pages?|figure|serial|order (no|number|id)|sha1|sha256|md5|commit|checksum)\b"
 
 
 def _marked(text: Column, pattern: str) -> Column:
@@ -93,11 +93,13 @@ def _marked(text: Column, pattern: str) -> Column:
 def scan(docs: DataFrame, key: str, text: str, carry: bool = False) -> DataFrame:
     """One row for each document: its key, and for each pattern the marked pieces (null where nothing can match).
 
-    carry: instead of the key, the whole row as ``row``.
+    carry: instead of the key, the whole row as ``row``, its columns named c0, c1 and so on.
     """
-    clean = F.translate(F.coalesce(docs[text].cast("string"), F.lit("")), MARK, INSTEAD)
-    head = F.struct(*[docs[c] for c in docs.columns]).alias("row") if carry else docs[key].cast("long").alias("doc_id")
-    rows = docs.select(head, clean.alias("text"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    flat = docs.toDF(*names)
+    clean = F.translate(F.coalesce(F.col(names[S.place(docs.columns, text)]).cast("string"), F.lit("")), MARK, INSTEAD)
+    head = F.struct(*names).alias("row") if carry else F.col(names[S.place(docs.columns, key)]).cast("long").alias("doc_id")
+    rows = flat.select(head, clean.alias("text"))
     first = "row" if carry else "doc_id"
     columns = []
     for kind, pattern in PATTERNS.items():
@@ -200,7 +202,7 @@ def candidates(scanned: DataFrame) -> DataFrame:
 
     found = [described(F.col(k), k, True) for k in PATTERNS]
     # which of the weaker patterns a match is of
-    whole = {"secret": "^[0-9A-Fa-f]{32,128}$", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "phone": r"^\(?[0-9]{3}[\x20.)-]+[0-9]{3}[\x20.-][0-9]{4}$", "email": r"[\[(]at[\])]"}
+    whole = {"secret": "^[0-9A-Fa-f]{32,}+$", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "phone": r"^\(?[0-9]{3}[\x20.)-]+[0-9]{3}[\x20.-][0-9]{4}$", "email": r"[\[(]at[\])]"}
 
     def of(form: str) -> Column:
         return F.filter(F.col("weaker"), lambda x: x["m"].rlike(form))
@@ -224,19 +226,18 @@ def reliabilities(counts: list[tuple]) -> dict[str, tuple[float, list[dict]]]:
         for row in counts:
             if row[0] == kind:
                 rows[row[1:5]] = rows.get(row[1:5], 0) + row[8]
-        chance = {v: 1 / (1 + math.exp(-1.5 * sum(v))) for v in rows}
+        chance = {v: 1 / (1 + math.prod(LEAN[x][1] / LEAN[x][0] for x in v)) for v in rows}
         prior, tables = 0.5, [{v: (1 / 3, 1 / 3) for v in (-1, 0, 1)} for _ in range(4)]
         for _ in range(ROUNDS):
             total = sum(rows.values())
             true = sum(n * chance[v] for v, n in rows.items())
             prior = (true + 1) / (total + 2)
-            weight = 2 + LEAN_SHARE * total
             for j, table in enumerate(tables):
                 for vote in (-1, 0, 1):
                     t = sum(n * chance[v] for v, n in rows.items() if v[j] == vote)
                     f = sum(n * (1 - chance[v]) for v, n in rows.items() if v[j] == vote)
                     lean = LEAN[vote]
-                    table[vote] = ((t + weight * lean[0]) / (true + weight), (f + weight * lean[1]) / (total - true + weight))
+                    table[vote] = ((t + LEAN_CANDIDATES * lean[0]) / (true + LEAN_CANDIDATES), (f + LEAN_CANDIDATES * lean[1]) / (total - true + LEAN_CANDIDATES))
             for v in rows:
                 odds = math.log(prior / (1 - prior)) + sum(math.log(tables[j][x][0] / tables[j][x][1]) for j, x in enumerate(v))
                 chance[v] = 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))
@@ -289,7 +290,7 @@ def accepted(known: DataFrame, weights: dict[str, float]) -> DataFrame:
         score = table[x["kind"]]
         for name in FEATURES:
             score = score + table[F.concat_ws("|", x["kind"], F.lit(name), x[name].cast("string"))]
-        return (F.least(*[x[f"v{j}"] for j in (1, 2, 3, 4)]) >= 0) & ~x["base"] & (score >= math.log(ACCEPT / (1 - ACCEPT)))
+        return (x["v1"] >= 0) & ~x["base"] & (score >= math.log(ACCEPT / (1 - ACCEPT)))
 
     base = known.select(first, F.filter("c", lambda x: x["base"]).alias("b"), F.filter("c", passes).alias("w"))
     clear = F.filter("w", lambda x: ~F.exists("b", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
@@ -314,7 +315,8 @@ def mask_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     weights = learn(candidates(S.stored(scan(docs, key, text), "pii-scan")))
     found = accepted(candidates(scan(docs, key, text, carry=True)), weights)
     spans = F.array_sort(F.transform("found", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("to"), x["e"].alias("e"), x["kind"].alias("kind"))))
-    whole = F.col(f"row.{text}")
+    at = S.place(docs.columns, text)
+    whole = F.col(f"row.c{at}")
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def add(done: Column, x: Column) -> Column:
@@ -324,8 +326,8 @@ def mask_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     masked = F.aggregate(spans, begin, add, lambda done: F.array_join(F.concat(done["parts"], F.array(F.substring(whole, done["at"] + 1, F.length(whole)))), ""))
     text_now = F.when(F.size("found") > 0, masked).otherwise(whole)
     changed = found.select("row", text_now.alias("changed"))
-    columns = [F.col("changed").alias(c) if c == text else F.length("changed").cast(docs.schema[c].dataType).alias(c) if c == length else F.col("row")[c].alias(c) for c in docs.columns]
-    return changed.select(*columns)
+    follows = docs.columns.index(length) if length in docs.columns else None
+    return changed.select(*[(F.col("changed") if i == at else F.length("changed").cast(f.dataType) if i == follows else F.col(f"row.c{i}")).alias(f.name) for i, f in enumerate(docs.schema)])
 
 
 def _joined(spans: Column) -> Column:

@@ -73,3 +73,25 @@ def test_only_functions_of_the_engine(spark):
 
 def test_empty_table(spark):
     assert pii.digest(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_the_classifier_outweighs_a_single_vote(spark):
+    """A masked address with an ending no gazetteer knows, among many that have one."""
+    rows = [(i, f"mail to user{i} [at] firm [dot] com please") for i in range(60)] + [(100, "mail to jane [at] firm [dot] pl please"), (101, "in order to reach us: 217 555 0199 today")]
+    rows += [(200 + i, f"phone: 217 555 01{i:02} today") for i in range(40)]
+    got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].startswith("email:8:") and got[100] == "email:8:31"
+    assert got[101] == "phone:22:34"
+
+
+def test_long_candidates_are_seen(spark):
+    rows = [(i, "token: " + "0a1b2c3d" * 5) for i in range(30)] + [(50, "see " + "ab" * 300 + " there"), (51, "mail " + "x" * 80 + " [at] firm [dot] com now")] + [(60 + i, f"mail to user{i} [at] firm [dot] com please") for i in range(30)]
+    got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[50] == "" and got[51] == "email:5:105" and got[0] == "secret:7:47"
+
+
+def test_masking_leaves_other_columns_alone(spark):
+    rows = [(1, "write a@b.com now", 17, "x", "up"), (None, None, None, "y", "up"), (2, "no", 2, None, "up")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, `a.b` string, TEXTS string")
+    got = sorted(map(tuple, pii.mask_spans(docs).collect()), key=str)
+    assert got == sorted([(1, "write <email> now", 17, "x", "up"), (None, None, None, "y", "up"), (2, "no", 2, None, "up")], key=str)
