@@ -1,11 +1,12 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
-Every document gets a random key, the md5 of its id. Within each source documents are
-range-sorted by that key: its leading hex digits are the range a document is in, so the
-ranges are even without sampling and a source with a third of all rows is spread over all
-of them. Running totals of sizes are taken inside each range and over the ranges' sums,
-and each source is cut at its exact budget: whole epochs first, then the documents whose
-running total lies within the rest. The document on the cut is taken in part.
+Every document gets a random key, the md5 of its id and its text's md5. Within each source
+documents are range-sorted by that key: its leading hex digits are the range a document is
+in, so the ranges are even without sampling, and a source with a third of all rows, or many
+rows with one id or none, are spread over all of them. Running totals of sizes are taken
+inside each range and over the ranges' sums, and each source is cut at its exact budget:
+whole epochs first, then the documents whose running total lies within the rest. The
+document on the cut is taken in part.
 
 Targets: sources by code point, null last, weigh 1, 2, 3 and so on again, and share all
 sizes. A target stops at MOST times its source's size, and what is cut goes to the others
@@ -15,8 +16,9 @@ divided by the weight of the rest.
 
 Defined cases: a null or empty text has size 0 and takes nothing; null is a source of its
 own; a source of size 0 has target 0; rows alike in every way share the same places in
-either order, so the rows returned are the same. A null id sorts by the md5 of the empty
-string. Columns other than id, source and text are not read.
+either order, so the rows returned are the same. A null id counts as the empty string in
+the key. Only rows with one id and one text share a key, and so a range. A very long text
+is one row of its size. Columns other than id, source and text are not read.
 """
 
 from __future__ import annotations
@@ -33,14 +35,16 @@ PER_RANGE = 20_000
 LEAST_DIGITS = 2
 
 
-def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", row: Column | None = None) -> DataFrame:
+def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", row: str | None = None) -> DataFrame:
     """(row, doc_id, source, size, rnd): the narrow rows everything else works on, written once."""
-    rnd = F.md5(F.coalesce(docs[key].cast("string"), F.lit("")).cast("binary"))
-    number = (F.lit(0) if row is None else row).cast("long").alias("row")
-    return docs.select(number, docs[key].cast("long").alias("doc_id"), docs[source].cast("string").alias("source"), S.word_count(docs[text].cast("string")).alias("size"), rnd.alias("rnd"))
+    rows = S.named(docs, doc_id=key, text=text, source=source, **({} if row is None else {"row": row}))
+    number = F.lit(0) if row is None else F.col("row")
+    written = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    rnd = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), written).cast("binary"))
+    return rows.select(number.cast("long").alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"), S.word_count(F.col("text").cast("string")).alias("size"), rnd.alias("rnd"))
 
 
-def running(df: DataFrame, order: list[Column], value: str, group: int = 4096) -> DataFrame:
+def running(df: DataFrame, order: list[Column], value: str) -> DataFrame:
     """Adds ``before`` and ``total`` of a value over all rows of a table of sources, and its rank ``nr`` from 0.
 
     For rows that are aggregates already. They are numbered by range partitions, so no task
@@ -58,10 +62,10 @@ def running(df: DataFrame, order: list[Column], value: str, group: int = 4096) -
 
 
 def targets(narrow: DataFrame) -> DataFrame:
-    """(source, source_size, target, n_rows) of every source, from its documents' sizes."""
+    """(source, source_size, target, n_rows, sizes_before) of every source, from its documents' sizes; sizes_before: of the sources before it."""
     by_source = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     numbered = running(by_source, [F.col("source").asc_nulls_last()], "source_size")
-    weighed = numbered.select("source", "source_size", "n_rows", (F.col("nr") % 3 + 1).alias("weight"))
+    weighed = numbered.select("source", "source_size", "n_rows", F.col("before").alias("sizes_before"), (F.col("nr") % 3 + 1).alias("weight"))
     # the ratio at which a source stops is MOST * size / weight; times 6 it is a whole number for weights 1, 2 and 3
     ratio = F.when(F.col("weight") == 1, 6 * MOST).when(F.col("weight") == 2, 3 * MOST).otherwise(2 * MOST) * F.col("source_size")
     stops = weighed.withColumn("ratio", ratio)
@@ -77,10 +81,10 @@ def targets(narrow: DataFrame) -> DataFrame:
     stopped = (MOST * F.col("source_size")).cast("double")
     # there is always a first one: not all sources can stop at several times all there is
     target = F.when(F.col("nr") >= level["nr"], F.lit(level["left"]).cast("double") * F.col("weight") / F.lit(level["open"])).otherwise(stopped) if level else stopped
-    return rest.select("source", "source_size", target.alias("target"), "n_rows")
+    return rest.select("source", "source_size", target.alias("target"), "n_rows", "sizes_before")
 
 
-def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", row: Column | None = None) -> DataFrame:
+def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", row: str | None = None) -> DataFrame:
     """(row, doc_id, source, size, source_size, target, taken, full, part) of every document; row: a number to carry along.
 
     taken = full * size + part: the epochs that take the whole document, and the words that
@@ -95,9 +99,9 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
         digits += 1
     placed = narrow.withColumn("range", F.substring("rnd", 1, digits))
     sums = placed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("source", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("of_ranges"))
-    sums = sums.join(goals, sums["source"].eqNullSafe(goals["source"])).select(sums["source"], "range", "of_ranges", "source_size", "target")
+    # over all sources in order, less what lies before the source: no source's ranges are in one task
+    sums = running(sums, [F.col("source").asc_nulls_last(), F.col("range")], "range_size")
+    sums = sums.join(goals, sums["source"].eqNullSafe(goals["source"])).select(sums["source"], "range", (F.col("before") - F.col("sizes_before")).alias("of_ranges"), "source_size", "target")
     inside = Window.partitionBy("source", "range").orderBy("rnd", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     rows = placed.withColumn("in_range", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     same = rows["source"].eqNullSafe(sums["source"]) & (rows["range"] == sums["range"])
@@ -109,8 +113,8 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     return rows.withColumn("taken", F.col("full") * F.col("size") + F.col("part")).drop("before")
 
 
-#: Stands after each word while a text is cut.
-CUT = "\x01\x02cut\x02\x01"
+#: The places right after a word, but for the last where no white space follows: between them lie the words, each with the white space before it.
+AFTER_WORD = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
 
 def take(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars") -> DataFrame:
@@ -119,24 +123,22 @@ def take(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     Rows are numbered and written down first, so ids may be missing or repeat. A column
     named as ``length`` follows a cut text.
     """
-    packed = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
-    numbered = S.stored(packed, "mixing-rows")
-    flat = numbered.select("row", *[F.col("doc")[c].alias(n) for c, n in ((key, "doc_id"), (text, "text"), (source, "source"))])
-    goals = mix_sources(flat, row=flat["row"]).filter(F.col("taken") > 0).select("row", "size", "full", "part")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    numbered = S.stored(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "mixing-rows")
+    at = {n: names[S.place(docs.columns, c)] for c, n in ((key, "doc_id"), (text, "text"), (source, "source"))}
+    goals = mix_sources(numbered, at["doc_id"], at["text"], at["source"], "row").filter(F.col("taken") > 0).select("row", "size", "full", "part")
     copies = numbered.join(goals, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("full") + (F.col("part") > 0).cast("long")).cast("int"))))
-    words = F.col("doc")[text]
-    marked = F.regexp_replace(words, f"({S.WORD_PATTERN})", f"$1{CUT}")
-    # size words carry a mark each, so there is always one after the last word taken
-    cut = F.replace(F.call_function("substring_index", marked, F.lit(CUT), F.col("part").cast("int")), F.lit(CUT), F.lit(""))
+    words = F.col(at["text"])
+    cut = F.array_join(F.slice(F.split(words, AFTER_WORD), 1, F.col("part").cast("int")), "")
     now = F.when((F.col("copy") <= F.col("full")) | (F.col("part") == F.col("size")), words).otherwise(cut)
-    made = copies.select("doc", now.alias("now"))
-    columns = [F.col("now").alias(c) if c == text else F.length("now").cast(docs.schema[c].dataType).alias(c) if c == length else F.col("doc")[c].alias(c) for c in docs.columns]
-    return made.select(*columns)
+    follows = names[docs.columns.index(length)] if length in docs.columns else None
+    made = copies.withColumn("now", now)
+    return made.select(*[(F.col("now") if c == at["text"] else F.length("now").cast(field.dataType) if c == follows else F.col(c)).alias(field.name) for c, field in zip(names, docs.schema)])
 
 
 SQL = r"""
 WITH d AS (SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS BIGINT) AS size,
-                  md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS rnd FROM documents),
+                  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS rnd FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s),
 c AS (SELECT *, CAST(18 * source_size / weight AS BIGINT) AS ratio FROM w),

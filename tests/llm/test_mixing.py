@@ -56,3 +56,28 @@ def test_targets_and_budgets(spark, seed, n, shares):
 
 def test_empty_table(spark):
     assert mixing.mix_sources(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_rows_without_an_id_spread_over_the_ranges(spark):
+    docs = spark.range(50_000).selectExpr("cast(null as long) as doc_id", "concat('w ', id, repeat(' x', cast(id % 7 as int))) as text", "'one' as source")
+    spread = mixing.sizes(docs).groupBy(mixing.F.substring("rnd", 1, mixing.LEAST_DIGITS)).count().collect()
+    assert len(spread) == 256 and max(r["count"] for r in spread) < 400
+    got = mixing.mix_sources(docs)
+    row = got.agg(mixing.F.sum("taken"), mixing.F.max("source_size")).first()
+    assert row[0] == row[1]
+
+
+def test_texts_are_cut_by_position(spark):
+    texts = ["  a\x01\x02cut\x02\x01 b\tc  ", "one two", "x " * 30_000]
+    rows = [(i, t, "big", -1, "k") for i, t in enumerate(texts)] + [(9, "z " * 10, "a.b", 5, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, `a.b` string")
+    plan = {r.doc_id: r for r in mixing.mix_sources(docs).collect()}
+    got = {}
+    for r in mixing.take(docs).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for key, text, *_ in rows:
+        r = plan[key]
+        words = list(WORD.finditer(text))
+        want = [text] * r.full + ([text if r.part == r.size else text[: words[r.part - 1].end()]] if r.part else [])
+        assert sorted(x.text for x in got.get(key, [])) == sorted(want)
+        assert all(x.n_chars == len(x.text) for x in got.get(key, []))
