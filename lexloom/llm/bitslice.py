@@ -14,7 +14,9 @@ block. Each meeting keeps k rows for each query, so what is shuffled for the las
 is k rows for each query and index block.
 
 Defined cases: rows without an id, and vectors that are null, or hold a null or non-finite
-component or one beyond 62 bits when quantised, take no part. A shorter vector counts as
+component, take no part. Scores are 64-bit integers: a finite component that passes 62 bits
+when quantised, or one of the k best scores that passes 64, is an error that names the row,
+as no number could be returned for it. A shorter vector counts as
 0 in the components it lacks. Of rows with the same id as a query none is a candidate for
 it; rows that repeat another id are candidates each. An id that repeats as a query is
 answered once, with its least vector. Other columns are not read.
@@ -38,9 +40,10 @@ SCHEMA = "query_id long, vec_id long, score long"
 
 def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """(vec_id, q): the rows that take part, with floor(256 x) of each component."""
-    rows = vectors.select(vectors[key].cast("long").alias("vec_id"), vectors[vector].cast("array<double>").alias("x"))
-    good = F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall("x", lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < 2.0**54), F.lit(False)))
-    return rows.filter(good).select("vec_id", F.transform("x", lambda v: F.floor(v * SCALE).cast("long")).alias("q"))
+    rows = S.named(vectors, vec_id=key, x=vector).select(F.col("vec_id").cast("long"), F.col("x").cast("array<double>"))
+    good = F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall("x", lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False)))
+    beyond = F.raise_error(F.concat(F.lit("a component passes 62 bits when quantised, in vector "), F.col("vec_id").cast("string")))
+    return rows.filter(good).select("vec_id", F.transform("x", lambda v: F.when(F.abs(v) < 2.0**54, F.floor(v * SCALE).cast("long")).otherwise(beyond.cast("long"))).alias("q"))
 
 
 def padded(q: pa.Array) -> np.ndarray:
@@ -175,7 +178,7 @@ def build_index(rows: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return rows.mapInArrow(run, INDEX)
+    return rows.mapInArrow(S.trimmed(run), INDEX)
 
 
 def top_k(vectors: DataFrame, every: int, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -200,10 +203,13 @@ def top_k(vectors: DataFrame, every: int, k: int, key: str = "vec_id", vector: s
                 block = Block(*[np.frombuffer(x, dtype="<i8") for x in (ids, least, bits)], np.frombuffer(slices, dtype="<u8").reshape(-1, words))
                 qids, qs = batch.column(5)[i].as_py(), padded(batch.column(6)[i].values)
                 found = [(qid, *r) for qid, q in zip(qids, qs) for r in block.best(qid, q, k)]
+                for qid, vec_id, score in found:
+                    if not -(1 << 63) <= score < 1 << 63:
+                        raise OverflowError(f"the score of vectors {qid} and {vec_id} passes 64 bits")
                 columns = zip(*found) if found else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
-    met = index.join(asked, ["qb", "copy"]).select("n", "ids", "least", "bits", "slices", "qids", "qs").mapInArrow(run, SCHEMA)
+    met = index.join(asked, ["qb", "copy"]).select("n", "ids", "least", "bits", "slices", "qids", "qs").mapInArrow(S.trimmed(run), SCHEMA)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

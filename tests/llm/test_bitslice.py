@@ -54,3 +54,12 @@ def test_few_rows_and_none(spark):
     assert bitslice.top_k(spark.createDataFrame([], schema), 50, 5).count() == 0
     two = spark.createDataFrame([(0, [1.0]), (1, [2.0])], schema)
     assert [tuple(r) for r in bitslice.top_k(two, 50, 5).collect()] == [(0, 1, 1, 131072)]
+
+
+def test_what_no_score_could_hold_is_an_error(spark):
+    schema = "vec_id long, embedding array<double>, `a.b` int, VEC_ID string"
+    fine = [(0, [1.0, -(2.0**30)], 1, "x"), (1, [0.5, 2.0**10], 1, "x")]
+    assert [r.score for r in bitslice.top_k(spark.createDataFrame(fine, schema), 50, 5).collect()] == [256 * 128 - 2**38 * 2**18]
+    for bad in ([(0, [2.0**54], 1, "x"), (1, [1.0], 1, "x")], [(0, [2.0**40], 1, "x"), (1, [2.0**40], 1, "x")]):
+        with pytest.raises(Exception, match="passes 6[24] bits"):
+            bitslice.top_k(spark.createDataFrame(bad, schema), 50, 5).collect()
