@@ -53,9 +53,15 @@ def test_against_brute_force(spark):
 def test_verdicts(spark):
     clean = " ".join(f"word{i}" for i in range(60))
     cases = [(1, clean), (2, "spam and eggs again here now " * 10), (3, "### a$ b& " * 4 + clean), (4, "few words")]
+    cases += [(5, "one two three four\nfive six seven eight nine ten\none two three four"), (6, clean + "\nhere again" * 40)]
     got = {r.doc_id: r.kept for r in repetition_rules(spark.createDataFrame(cases, "doc_id long, text string")).collect()}
-    assert got == {1: True, 2: False, 3: False, 4: False}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: True, 6: False}
 
 
 def test_empty_table(spark):
     assert repetition_rules(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_names_that_differ_by_case_or_hold_dots(spark):
+    docs = spark.createDataFrame([(1, "a b", "c", 2)], "doc_id long, text string, `a.b` string, TEXT int")
+    assert [r.n_words for r in repetition_rules(docs).collect()] == [2]
