@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm.shared import batched
+from lexloom.llm import shared as S
 
 #: Words kept with their tokens in a worker, in each of two generations, and characters above which a word isn't kept.
 CACHED_WORDS, CACHED_CHARS = 150_000, 48
@@ -338,7 +338,7 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
                 ids = [codec.encode(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
-    return _keyed(docs, key, text).mapInArrow(run, "doc_id long, ids binary, decoded string")
+    return S.keyed(docs, key, text).mapInArrow(S.trimmed(run), "doc_id long, ids binary, decoded string")
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -356,8 +356,4 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                 decoded.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _keyed(docs, key, text).mapInArrow(run, SCHEMA)
-
-
-def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    return S.keyed(docs, key, text).mapInArrow(S.trimmed(run), SCHEMA)

@@ -283,31 +283,33 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, popular, size: int, tenths: i
     return S.stored(made.join(wanted.select("c"), "c", "left_semi"), "jaccard-sets")
 
 
-def _shared_tokens(sketched: DataFrame, prefix: str) -> DataFrame:
+def _shared_tokens(sketched: DataFrame, prefix: str, sieved: bool = False) -> DataFrame:
     """(tok, c, k): the prefix tokens that k >= 2 classes have, with these classes.
 
-    A bitmap drops most of the others before the shuffle. Classes of a token are counted in
-    partial sums, and meet their count in a join whose hot tokens the engine splits.
+    sieved: a bitmap drops most of the other tokens before the shuffle, for a large table.
+    Classes of a token are counted in partial sums, and meet their count in a join whose hot
+    tokens the engine splits.
     """
-    some = sketched.sparkSession.sparkContext.broadcast(repeated_tokens(sketched, prefix))  # 8 MB, whatever the data
+    some = sketched.sparkSession.sparkContext.broadcast(repeated_tokens(sketched, prefix)) if sieved else None  # 8 MB, whatever the data
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 4096):
                 part = batch.slice(i, 4096)
                 lists = [np.frombuffer(x, "<u8") for x in part.column(1).to_pylist()]
-                if not lists:
-                    continue
                 toks, at = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-                kept = _has(some.value, _place(toks))
-                yield pa.RecordBatch.from_arrays([pa.array(toks[kept].view("<i8")), part.column(0).take(pa.array(at[kept]))], ["tok", "c"])
+                if some is not None:
+                    kept = _has(some.value, _place(toks))
+                    toks, at = toks[kept], at[kept]
+                yield pa.RecordBatch.from_arrays([pa.array(toks.view("<i8")), part.column(0).take(pa.array(at))], ["tok", "c"])
 
-    return _counted(S.durable(sketched.select("c", prefix).mapInArrow(S.trimmed(flat), "tok long, c binary").distinct()))
+    return _counted(S.durable(sketched.select("c", prefix).mapInArrow(S.trimmed(flat), "tok long, c binary").distinct(), PART_ROWS))
 
 
 def _counted(posted: DataFrame) -> DataFrame:
     """The rows (tok, c) whose token has two classes or more, with their number k."""
-    counts = posted.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1")
+    # written before the join: only a plain shuffle is split where a token is hot
+    counts = S.durable(posted.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1"), PART_ROWS)
     return posted.select("tok", "c").join(counts, "tok")
 
 
@@ -460,7 +462,7 @@ def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 def class_links(rows: DataFrame, sketched: DataFrame, popular, size: int, tenths: int, parities: bool = True) -> DataFrame:
     """(u, v): links between classes that connect whatever any links connect."""
-    posted = S.durable(_shared_tokens(sketched, "p1"))
+    posted = S.durable(_shared_tokens(sketched, "p1", sieved=True), PART_ROWS)
     wanted = sketched.groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(posted.select("c").distinct(), "c", "left_semi")
     live = whole_sets(rows, S.durable(wanted, PART_ROWS), popular, size, tenths)
     alive = live.select("c")
@@ -496,7 +498,7 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, size: int, tenths
 
 def with_class(docs: DataFrame, name: str, text: str = "text", size: int = SHINGLE) -> DataFrame:
     """The documents with the class of each text, as jaccard_components gives it, in a new column."""
-    at, columns = docs.columns.index(text), [*docs.columns, name]
+    at, columns = S.place(docs.columns, text), [*docs.columns, name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -512,7 +514,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     size, tenths: words of a shingle, and tenths of the similarity from which on texts are linked (5 to 10).
     """
-    rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    rows = S.keyed(docs, key, text)
     popular = docs.sparkSession.sparkContext.broadcast(popular_shingles(rows, size))  # 16 MB, whatever the data
     sketched = S.stored(sketches(rows, popular, size, tenths), "jaccard-sketches")
     links = class_links(rows, sketched.filter("c is not null"), popular, size, tenths, parities)
@@ -525,3 +527,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     out = narrow.join(named, "c", "left")
     alone = F.when(F.col("c").isNull(), F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.lower(F.hex("c")).alias("class"), F.coalesce("least", "class_id", alone).alias("component_id"), F.lower(F.hex(F.coalesce("root", "c"))).alias("root"))
+
+
+SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d WHERE len(ws) >= 3),
+a AS (SELECT rid, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o AS s FROM w WINDOW o AS (PARTITION BY rid ORDER BY p)),
+s AS (SELECT DISTINCT rid, s FROM a WHERE s IS NOT NULL UNION ALL SELECT rid, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 2),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+b AS (SELECT x.rid AS u, y.rid AS v, count(*) AS common FROM s x JOIN s y ON x.s = y.s AND x.rid < y.rid GROUP BY ALL),
+l AS (SELECT u, v FROM b JOIN n nu ON nu.rid = u JOIN n nv ON nv.rid = v WHERE 100 * common >= 90 * (nu.n + nv.n - common)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+c AS (SELECT rid, rid AS root FROM d UNION SELECT c.rid, e.v FROM c JOIN e ON e.u = c.root)
+SELECT any_value(d.doc_id) AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM c JOIN d ON d.rid = c.rid JOIN d o ON o.rid = c.root LEFT JOIN n ON n.rid = c.rid GROUP BY c.rid
+"""

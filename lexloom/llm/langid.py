@@ -8,7 +8,8 @@ descent on a sample that is even over languages: on the driver, or by the execut
 there are more than DRIVER_MACHINES.
 
 The sample is the only bound: all languages are learned, from about SAMPLE training texts
-that are drawn by a hash of the id, or LEAST_TEXTS of each language where that is more.
+that are drawn by a hash of the id and the text, or LEAST_TEXTS of each language where that
+is more; if chance or repeated rows give twice as many, the first by that hash are taken.
 Every text is read whole and classified.
 
 Defined cases: a null text and one without a letter are "und" with score 0. Texts whose
@@ -197,25 +198,27 @@ def held_out(key: Column) -> Column:
 
 def train(docs: DataFrame, key: str, text: str, lang: str) -> Model | None:
     """A model from a sample of the texts that aren't held out."""
-    known = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("text"), docs[lang].cast("string").alias("lang"))
+    known = S.named(docs, k=key, text=text, lang=lang).withColumns({"text": F.col("text").cast("string"), "lang": F.col("lang").cast("string")})
     known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("k")))
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # one row for each language
     if not counts:
         return None
     quota = max(SAMPLE / len(counts), LEAST_TEXTS)
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, quota / r["count"]))])
-    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("k").cast("string"), F.lit("")), F.lit("language")), F.lit(1 << 24)) < share[F.col("lang")] * (1 << 24)
+    dice = F.xxhash64(F.coalesce(F.col("k").cast("string"), F.lit("")), "text")
+    drawn = F.pmod(dice, F.lit(1 << 24)) < share[F.col("lang")] * (1 << 24)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in S.slices(batch.column(1)):
                 x = features(data, offsets)
                 ok = has_letter(batch.column(1).slice(i, j - i), data, offsets)
-                made = pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
+                made = pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([r.tobytes() for r in x], pa.binary()), batch.column(2).slice(i, j - i)], ["lang", "x", "dice"])
                 yield made.filter(pa.array(ok))
 
-    # an expected SAMPLE rows of 8 KB, or LEAST_TEXTS for each language, whatever the data
-    sample = known.filter(F.coalesce(drawn, F.lit(False))).select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow().combine_chunks()
+    # an expected SAMPLE rows of 8 KB, or LEAST_TEXTS for each language, and at most twice as many, whatever the data
+    chosen = known.filter(F.coalesce(drawn, F.lit(False))).select("lang", "text", dice.alias("dice")).mapInArrow(S.trimmed(run), "lang string, x binary, dice long")
+    sample = chosen.orderBy(F.pmod("dice", F.lit(1 << 24)), "dice", "lang").limit(int(2 * quota * len(counts))).select("lang", "x").toArrow().combine_chunks()
     if not sample.num_rows:
         return None
     langs, cells = sample.column("lang").to_pylist(), sample.column("x").chunk(0)
@@ -249,17 +252,17 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         for part, langs, score, families, _ in classify(batches, shared.value, 2):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(langs, pa.string()), pa.array(score), pa.array(families, pa.string())], [f.split()[0] for f in SCHEMA.split(", ")])
 
-    rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), held_out(docs[key]).alias("held_out"), docs[text].cast("string").alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    rows = S.keyed(docs, key, text, raw=key).select("doc_id", held_out(F.col("raw")).alias("held_out"), "text")
+    return rows.mapInArrow(S.trimmed(run), SCHEMA)
 
 
 def keep_identified(docs: DataFrame, least: float, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents, as they are, whose language is known with a certainty of at least ``least``."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, key, text, lang))
-    at = S.batched(docs).columns.index(text)
+    at = S.place(S.batched(docs).columns, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, langs, _, _, certain in classify(batches, shared.value, at):
             yield part.filter(pa.array([x != UNKNOWN and c >= least for x, c in zip(langs, certain)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(S.trimmed(run), docs.schema)

@@ -264,7 +264,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", t
         if keys:
             yield flush()
 
-    rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    rows = S.keyed(docs, key, text)
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("text")]
     ordered = rows.repartitionByRange(S.shuffle_width(spark), *order[:2]).sortWithinPartitions(*order)
     folder = f"{S.shared_dir(spark)}/tokens-{uuid.uuid4().hex}"

@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bitslice, bpe, jaccard, langid, licenses, mixing, pii, rans, sitequality
-from lexloom.llm.repetition import repetition_rules
+from lexloom.llm import bitslice, bpe, jaccard, langid, licenses, mixing, pii, rans, repetition, sitequality
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +14,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition_rules(_docs(spark, sf_dir))
+    return repetition.repetition_rules(_docs(spark, sf_dir))
 
 
 def op2_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +74,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_repetition": repetition.SQL,
         "op2_bitslice": bitslice.SQL,
+        "op6_jaccard": jaccard.SQL,
         "op7_mixing": mixing.SQL,
     }

@@ -65,6 +65,22 @@ def batched(df: DataFrame) -> DataFrame:
     return df
 
 
+def place(columns: list[str], name: str) -> int:
+    """Where a column is: the one so named, else one alike but for case."""
+    return columns.index(name) if name in columns else [c.lower() for c in columns].index(name.lower())
+
+
+def named(docs: DataFrame, **wanted: str) -> DataFrame:
+    """The wanted columns under new names, cast to nothing yet. Columns that differ by case, or hold dots, don't get in the way."""
+    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return flat.select(*[F.col(f"c{place(docs.columns, old)}").alias(new) for new, old in wanted.items()])
+
+
+def keyed(docs: DataFrame, key: str, text: str, **more: str) -> DataFrame:
+    """(doc_id long, text string, ...) of the documents, in batches for Python."""
+    return batched(named(docs, doc_id=key, text=text, **more)).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+
+
 def trimmed(run: Callable) -> Callable:
     """A function of batches that hands freed memory back when its task ends. Workers live on, and would keep it beside the engine's."""
 

@@ -8,8 +8,9 @@ learned from the data by the method of moments, so sites with few documents fall
 their prior and rich ones speak for themselves. A document's posterior joins its own
 evidence with its path's rate, from which its own share is taken out first.
 
-The classifier is fitted on a hash sample of about SAMPLE labelled documents; that bound
-is its only one. Rates and shrinkage cover all documents.
+The classifier is fitted on a hash sample of about SAMPLE labelled ids, and of their
+documents at most twice as many; that bound is its only one. Rates and shrinkage cover all
+documents.
 
 Defined cases: a null text is empty; a null host or path is a host or path of its own.
 Several labels of one id are averaged; null labels and ids say nothing. With no labels the
@@ -106,9 +107,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
         for batch in batches:
             for i, j, data, offsets in S.slices(batch.column(2)):
                 x = features(data, offsets)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "y", "x"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(i, j - i) for c in (0, 1, 3)], pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "y", "dice", "x"])
 
-    rows = docs.join(F.broadcast(drawn), "doc_id").select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y double, x binary").collect()
+    met = docs.join(F.broadcast(drawn), "doc_id").select("doc_id", "y", "text", F.xxhash64("doc_id", "text").alias("dice")).mapInArrow(S.trimmed(run), "doc_id long, y double, dice long, x binary")
+    rows = met.orderBy("dice", "doc_id", "x").limit(2 * SAMPLE).collect()
     rows = sorted((r["doc_id"], r["y"], bytes(r["x"])) for r in rows)
     x = np.stack([np.frombuffer(r[2]) for r in rows]) if rows else np.zeros((0, len(FEATURES)))
     return Classifier(x, np.array([float(r[1] >= 0.5) for r in rows]))
@@ -135,8 +137,8 @@ def shrinkage(groups: DataFrame, good: str, seen: str, prior) -> float:
 
 def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """(doc_id, host, path, p_text, host_rate, path_rate, posterior, kept) of every document."""
-    rows = S.batched(docs).select(docs[key].cast("long").alias("doc_id"), docs[host].cast("string").alias("host"), docs[path].cast("string").alias("path"), docs[text].cast("string").alias("text"))
-    known = labels.select(labels[key].cast("long").alias("doc_id"), labels[label].cast("double").alias("y")).dropna().groupBy("doc_id").agg(F.avg("y").alias("y"))
+    rows = S.keyed(docs, key, text, host=host, path=path).select("doc_id", F.col("host").cast("string"), F.col("path").cast("string"), "text")
+    known = S.named(labels, doc_id=key, y=label).select(F.col("doc_id").cast("long"), F.col("y").cast("double")).dropna().groupBy("doc_id").agg(F.avg("y").alias("y"))
     model = fit(rows, known)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few numbers
 
@@ -146,7 +148,7 @@ def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(shared.value.probability(features(data, offsets)))], ["doc_id", "host", "path", "p_text"])
 
-    scored = S.durable(rows.mapInArrow(run, "doc_id long, host string, path string, p_text double"))
+    scored = S.durable(rows.mapInArrow(S.trimmed(run), "doc_id long, host string, path string, p_text double"))
     labelled = scored.join(known, "doc_id", "left")
     weight = F.when(F.col("y").isNotNull(), 1.0).otherwise(DISCOUNT)
     evidence = labelled.select("doc_id", "host", "path", "p_text", weight.alias("w"), (weight * F.coalesce("y", "p_text")).alias("e"))

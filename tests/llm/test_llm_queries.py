@@ -12,7 +12,7 @@ NAMES = {1: "repetition", 2: "bitslice", 3: "pii", 4: "sitequality", 5: "langid"
 
 def test_one_query_for_each_operator():
     assert list(registry.queries()) == [f"op{n}_{x}" for n, x in NAMES.items()]
-    assert set(registry.oracle_sql()) == {"op2_bitslice", "op7_mixing"}
+    assert set(registry.oracle_sql()) == {"op1_repetition", "op2_bitslice", "op6_jaccard", "op7_mixing"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
