@@ -17,34 +17,46 @@ from lexloom.operators.names import resolve_names
 from lexloom.operators.versions import as_of  # noqa: F401
 from lexloom.sources import release
 
-TABLES = ["nodes", "edges", "mentions", "pending", "names", "chunks", "laws", "pairs"]
+TABLES = ["nodes", "edges", "mentions", "pending", "names", "chunks", "index", "laws", "pairs"]
+#: What can be made again from the others.
+DERIVED = ["chunks", "index", "laws", "pairs"]
+
+
+def _law_rows(nodes: DataFrame) -> DataFrame:
+    kind = F.coalesce("listed_type", law_type(F.col("id"))) if "listed_type" in nodes.columns else law_type(F.col("id"))
+    url = F.col("url") if "url" in nodes.columns else F.lit(None).cast("string")
+    return nodes.filter("type = 'Law'").select(F.col("id").alias("law_id"), "title", kind.alias("law_type"), "is_active", "enforcement_date", "next_enforcement_date", "pending_version_count", url.alias("url"))
+
+
+def _derived(nodes: DataFrame, edges: DataFrame, chunks: DataFrame) -> dict[str, DataFrame]:
+    links = release.external_edges(edges).select(F.substring_index("source", "_", 1).alias("src"), F.substring_index("target", "_", 1).alias("tgt"))
+    return {"index": search.search_index(chunks, "node_id", "body", "heading"), "laws": _law_rows(nodes), "pairs": graph.weighted_pairs(links)}
 
 
 def save(built: builds.Statutes, path: str) -> None:
     """Write a corpus and what is searched in it. Nodes and edges lie sorted by id, so look-ups skip most of the files."""
-    nodes = built.nodes
-    laws = nodes.filter("type = 'Law'").select(F.col("id").alias("law_id"), "title", law_type(F.col("id")).alias("law_type"), "is_active", "enforcement_date", "next_enforcement_date", "pending_version_count")
-    links = release.external_edges(built.edges).select(F.substring_index("source", "_", 1).alias("src"), F.substring_index("target", "_", 1).alias("tgt"))
-    parts = {"nodes": nodes.repartitionByRange("id").sortWithinPartitions("id"), "edges": built.edges.repartitionByRange("source").sortWithinPartitions("source"), "mentions": built.mentions, "pending": built.pending, "names": built.names, "chunks": search.chunks(nodes), "laws": laws, "pairs": graph.weighted_pairs(links)}
-    for name in TABLES:
-        parts[name].write.mode("overwrite").parquet(f"{path}/{name}")
+    nodes, spark = built.nodes, built.nodes.sparkSession
+    parts = {"nodes": nodes.repartitionByRange("id").sortWithinPartitions("id"), "edges": built.edges.repartitionByRange("source").sortWithinPartitions("source"), "mentions": built.mentions, "pending": built.pending, "names": built.names}
+    for name, df in parts.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    unpack(path, spark)
 
 
 def pack(path: str, to: str, spark: SparkSession) -> None:
     """Copy a corpus without what can be made again from its nodes and edges."""
-    for name in ("nodes", "edges", "mentions", "pending", "names"):
-        spark.read.parquet(f"{path}/{name}").write.mode("overwrite").option("compression", "zstd").parquet(f"{to}/{name}")
+    for name in TABLES:
+        if name not in DERIVED:
+            spark.read.parquet(f"{path}/{name}").write.mode("overwrite").option("compression", "zstd").parquet(f"{to}/{name}")
 
 
 def unpack(path: str, spark: SparkSession) -> int:
     """Make the tables again that ``pack`` leaves out; the number of chunks."""
-    nodes, edges, none = spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges"), spark.read.parquet(f"{path}/pending")
-    whole = builds.Statutes(nodes, edges, spark.read.parquet(f"{path}/mentions"), none, spark.read.parquet(f"{path}/names"), none)
-    laws = whole.nodes.filter("type = 'Law'").select(F.col("id").alias("law_id"), "title", law_type(F.col("id")).alias("law_type"), "is_active", "enforcement_date", "next_enforcement_date", "pending_version_count")
-    links = release.external_edges(edges).select(F.substring_index("source", "_", 1).alias("src"), F.substring_index("target", "_", 1).alias("tgt"))
-    for name, df in (("chunks", search.chunks(nodes)), ("laws", laws), ("pairs", graph.weighted_pairs(links))):
+    nodes, edges = spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges")
+    search.chunks(nodes).write.mode("overwrite").parquet(f"{path}/chunks")
+    chunks = spark.read.parquet(f"{path}/chunks")
+    for name, df in _derived(nodes, edges, chunks).items():
         df.write.mode("overwrite").parquet(f"{path}/{name}")
-    return spark.read.parquet(f"{path}/chunks").count()
+    return chunks.count()
 
 
 class Engine:
@@ -124,7 +136,8 @@ class Engine:
         if not natural:
             return search.keyword_search(rows, query, "node_id", "body", "heading", limit, offset)
         asked = self.spark.createDataFrame([(0, query)], "q int, text string")
-        found = search.natural_search(rows, asked, "node_id", "body", "q", "text").drop("q").orderBy(F.desc("score"), "node_id").offset(offset).limit(limit)
+        index = self.index_.join(rows.select("node_id"), "node_id", "left_semi")
+        found = search.natural_search(rows, asked, "node_id", "body", "q", "text", offset + limit, "heading", index).filter(F.col("rank") > offset).drop("q", "rank")
         return found.join(rows, "node_id").orderBy(F.desc("score"), "node_id")
 
     def what_cites(self, law: str, limit: int = 30) -> dict:

@@ -7,6 +7,7 @@ import json
 import sys
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lexloom.session import local_session
 
@@ -39,7 +40,13 @@ def parser() -> argparse.ArgumentParser:
 
     flag, number = {"action": "store_true"}, {"type": int, "default": 20}
     verb("fetch", "output", zip={"default": None}, url={"default": None})
-    verb("build", "input", "output", as_of={"required": True}, law_list={"default": None}, aliases={"default": None})
+    verb("download", "manifest", "output", base={"default": None})
+    verb("build", "input", "output", as_of={"required": True}, law_list={"default": None}, aliases={"default": None, "nargs": "*"}, limit={"type": int, "default": None}, no_cites=flag, dump_unresolved={"default": None})
+    verb("index", "corpus")
+    verb("eval", "corpus", "gold", out={"default": None}, depth={"type": int, "default": 100})
+    verb("gold", "corpus", "cases", "output")
+    verb("mcp", "corpus")
+    verb("explorer", "corpus", "output")
     verb("validate", "corpus", kpi=flag)
     verb("export", "corpus", "output")
     verb("pack", "corpus", "output")
@@ -65,10 +72,19 @@ def main(argv: list[str] | None = None) -> int:
 
         _show(take_snapshot(a.output, a.zip, a.url), True)
         return 0
+    if a.verb == "download":
+        from pathlib import Path
+
+        from lexloom.sources.snapshot import download_checked
+
+        found = json.loads(Path(a.manifest).read_text(encoding="utf-8"))
+        _show({"fetched": download_checked(found, a.base or Path(a.manifest).resolve().parent.as_uri(), Path(a.output))}, True)
+        return 0
     spark = local_session("lexloom-cli")
     from lexloom import api
     from lexloom.operators import build as builds
     from lexloom.operators import checks
+    from lexloom.operators.resolve import unresolved
     from lexloom.sources import release, snapshot
     from lexloom.sources import statutes as X
 
@@ -77,16 +93,52 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.verb == "build":
         laws = X.read_law_list(spark, a.law_list) if a.law_list else None
-        aliases = spark.createDataFrame(sorted(snapshot.load_aliases(a.aliases).items()), "name string, canonical string") if a.aliases else None
-        api.save(builds.build(X.read_documents(spark, a.input), a.as_of, laws, aliases), a.output)
+        aliases = spark.createDataFrame(sorted(snapshot.load_aliases(*(a.aliases or [])).items()), "name string, canonical string")
+        documents = X.read_documents(spark, a.input)
+        if a.limit:  # the first laws by id, as asked
+            documents = documents.join(documents.select("law_id").distinct().orderBy("law_id").limit(a.limit), "law_id", "left_semi")
+        built = builds.build(documents, a.as_of, laws, aliases, not a.no_cites)
+        api.save(built, a.output)
+        if a.dump_unresolved:
+            release.write_jsonl(unresolved(built.mentions), a.dump_unresolved, ["occ_seq"])
         return 0
     if a.verb == "pack":
         api.pack(a.corpus, a.output, spark)
         return 0
-    if a.verb == "unpack":
+    if a.verb in ("unpack", "index"):
         _show({"chunks": api.unpack(a.corpus, spark)}, True)
         return 0
     e = api.Engine(spark, a.corpus)
+    if a.verb == "mcp":
+        from lexloom.server import Tools, serve
+
+        serve(Tools(e))
+        return 0
+    if a.verb == "eval":
+        from lexloom.operators.retrieval import evaluate
+
+        result = evaluate(e, release.read_jsonl(spark, a.gold, release.GOLD), a.depth)
+        if a.out:
+            release.write_json(result, a.out)
+        _show(result, True)
+        return 0
+    if a.verb == "gold":
+        from lexloom.operators.gold import gold_rows, gold_statistics
+
+        cases = release.read_cases(spark, a.cases)
+        rows = gold_rows(cases, e.laws_.select(F.col("title").alias("name"), "law_id"), e.nodes_.filter("type = 'Article'").select("id"))
+        release.write_jsonl(rows, a.output, ["id"])
+        metrics, lost = gold_statistics(cases, rows)
+        _show({r["metric"]: r["value"] for r in metrics.collect()} | {"top_unresolved": [[r["raw"], r["n"]] for r in lost.collect()]}, True)
+        return 0
+    if a.verb == "explorer":
+        from pathlib import Path
+
+        from lexloom.sources.pages import explorer
+
+        laws = e.laws_.select("law_id", F.col("title").alias("name"), F.col("law_type").alias("type"), "next_enforcement_date")
+        Path(a.output).write_text(explorer(laws, e.pairs_), encoding="utf-8")
+        return 0
     if a.verb == "validate":
         outcomes = e.mentions_.groupBy("outcome").count().withColumnRenamed("count", "n")
         rows = checks.all_checks(e.nodes_, X.contains_edges(e.nodes_), e.edges_, outcomes).collect()
@@ -96,9 +148,10 @@ def main(argv: list[str] | None = None) -> int:
     if a.verb == "export":
         release.write_csv(release.law_table(e.nodes_), f"{a.output}/laws")
         release.write_csv(release.law_to_law(e.edges_, e.nodes_), f"{a.output}/cites_law_to_law")
-        release.write_csv(e.pending_, f"{a.output}/pending_versions")
+        release.write_csv(release.pending_table(e.pending_, e.nodes_), f"{a.output}/pending_versions")
         release.write_edges(release.external_edges(e.edges_), f"{a.output}/cites_edges")
         release.write_edges(e.edges_, f"{a.output}/cites_all_edges")
+        release.write_json(release.release_stats(e.nodes_, e.edges_, e.mentions_, e.pending_), f"{a.output}/release_stats.json")
         return 0
     found = None
     if a.verb == "search":

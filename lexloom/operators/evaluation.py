@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.tables import durable
+
+
+def by_article(ranked: DataFrame, articles: DataFrame, query: str, key: str) -> DataFrame:
+    """(query, article, rank): chunks folded to their articles, each at its best chunk's place, ranked anew from 1. articles: (key, article)."""
+    placed = ranked.join(articles.filter("article is not null").select(key, "article"), key).groupBy(query, "article").agg(F.min("rank").alias("at"))
+    return placed.select(query, "article", F.row_number().over(Window.partitionBy(query).orderBy("at", "article")).cast("long").alias("rank"))
+
 
 def first_ranks(ranked: DataFrame, gold: DataFrame, query: str, key: str) -> DataFrame:
     """(query, first): the best rank (from 0) of any gold row of each query that has gold; null if none was found."""
@@ -40,17 +48,53 @@ def precision_by(rows: DataFrame, group: str, ok: str) -> DataFrame:
     return sums.select(group, F.col("n").cast("long").alias("n"), F.round(F.col("good") / F.col("n"), 6).alias("precision"), F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
 
 
+def weighted_precision(rows: DataFrame, group: str, ok: str, weights: DataFrame) -> DataFrame:
+    """One row: the precision of each group, weighed by the group's number of all (weights: group, n), and the weights' coverage."""
+    each = rows.groupBy(group).agg(F.avg(F.col(ok).cast("double")).alias("p"))
+    met = weights.select(group, F.col("n").cast("double").alias("n")).join(each, group, "left")
+    covered = F.sum(F.when(F.col("p").isNotNull(), F.col("n")))
+    return met.agg(F.round(F.sum(F.col("p") * F.col("n")) / covered, 6).alias("precision"), F.round(covered / F.sum("n"), 6).alias("coverage"))
+
+
 def upper_median(rows: DataFrame, group: str, value: str) -> DataFrame:
     """The element at n // 2 of each group's sorted values: never an interpolated one.
 
-    Counts of distinct values are summed in order, so a group isn't gathered in one row.
+    Distinct values are counted and sorted over range partitions; places are sums of the
+    partitions before and of those inside, so no group is one task's rows.
     """
-    from pyspark.sql import Window
-
     counts = rows.groupBy(group, value).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(group).orderBy(value)
-    below = counts.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy(group)))
-    return below.filter(F.col("upto") > F.floor(F.col("n") / 2)).groupBy(group).agg(F.min(value).alias("p50"))
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = durable(counts.repartitionByRange(width, F.col(group).asc_nulls_last(), F.col(value).asc_nulls_last()).withColumn("part", F.spark_partition_id()))
+    sums = parts.groupBy(group, "part").agg(F.sum("c").alias("s"))  # a row for each group and partition at most
+    before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col(group).alias("g"), F.col("part").alias("pt"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("below"), F.sum("s").over(Window.partitionBy(group)).alias("n"))
+    inside = Window.partitionBy(group, "part").orderBy(F.col(value).asc_nulls_last())
+    placed = parts.withColumn("upto", F.sum("c").over(inside)).join(sums, F.col(group).eqNullSafe(F.col("g")) & (F.col("part") == F.col("pt")))
+    return placed.filter(F.col("upto") + F.col("below") > F.floor(F.col("n") / 2)).groupBy(group).agg(F.min(value).alias("p50"))
+
+
+# What a new release is held against, how far each figure may fall, and whether in points or as a share.
+GATE = [
+    ("recall@10 bm25+graph", 0.02, "abs"),
+    ("recall@10 bm25", 0.02, "abs"),
+    ("mrr@50 bm25+graph", 0.02, "abs"),
+    ("queries evaluated", 0.02, "rel"),
+    ("laws", 0.02, "rel"),
+    ("CITES edges", 0.03, "rel"),
+    ("DELEGATES_TO edges", 0.05, "rel"),
+    ("REFERS_TO_ATTACHMENT edges", 0.05, "rel"),
+    ("law-to-law pairs", 0.03, "rel"),
+    ("cross-law citations resolved", 0.03, "rel"),
+]
+
+
+def release_gate(new: DataFrame, base: DataFrame, limits: list[tuple[str, float, str]] = GATE) -> DataFrame:
+    """(metric, old, now, fall, passed) for each limit: a figure fails if it is missing on either side or fell too far. new, base: (metric, value)."""
+    asked = new.sparkSession.createDataFrame(limits, "metric string, most double, kind string")
+    both = asked.join(base.select("metric", F.col("value").cast("double").alias("old")), "metric", "left").join(new.select("metric", F.col("value").cast("double").alias("now")), "metric", "left")
+    points = F.col("old") - F.col("now")
+    fall = F.when(F.col("kind") == "abs", points).otherwise(F.when(F.col("old") != 0, points / F.col("old")).otherwise(F.when(F.col("now").isNotNull(), 0.0)))
+    return both.withColumn("fall", fall).select("metric", "old", "now", F.round("fall", 6).alias("fall"), F.coalesce(F.col("fall") <= F.col("most"), F.lit(False)).alias("passed"))
 
 
 def drop_gate(new: DataFrame, base: DataFrame, allowed: float) -> DataFrame:

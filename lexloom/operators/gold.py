@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.operators.dedup import unambiguous
+
 # What such lists call certain laws, what lies outside the corpus, and what isn't current text.
 LIST_NAMES = {
     "一般社団法": "一般社団法人及び一般財団法人に関する法律",
@@ -22,35 +24,48 @@ LIST_NAMES = {
 }
 OUTSIDE = r"通達|条約|協定|告示|Q&A|Q＆A|議定書|「|^(?:明治|大正|昭和|平成|令和)\d+年\d+月\d+日"
 NOT_CURRENT = r"附則|改正前|^旧|改正法|改正令|による改正"
+CITED = r"^(.*?)第([0-9]+)条((?:の[0-9]+)*)"
 
 
 def plain(text: str) -> str:
     return unicodedata.normalize("NFKC", text).replace(" ", "")
 
 
-def parse_list(lines: list[str] | None, with_commas: list[str] = ()) -> list[tuple[str, str, str]]:
-    """(law, article path, as written) of each entry. A law carries over entries and lines; names that hold a comma stay whole."""
-    out, law = [], None
-    for line in lines or []:
-        line = plain(line)
-        for title in sorted(with_commas, key=len, reverse=True):
-            line = line.replace(title, title.replace("、", "\0"))
-        for entry in (e.replace("\0", "、") for e in re.split("[、，,]", line)):
-            cited = re.match(r"^(.*?)第(\d+)条((?:の\d+)*)", entry)
-            if cited:
-                law = re.sub(r"\(.*?\)", "", cited.group(1)) or law
-                if law:
-                    out.append((law, cited.group(2) + cited.group(3).replace("の", "-"), entry))
-            elif entry and "第" not in entry:
-                law = entry
-    return out
+def entries(cases: DataFrame, with_commas: list[str] = ()) -> DataFrame:
+    """(id, nr, law, path, raw) of each provision that a case's lists name, in order; cases: (id, kankeihrei).
+
+    Lists are split into entries, one row each. An entry that cites an article may name its
+    law; one without a number is a law's name alone. The law of any other is the last one
+    named before it in the case, over all its lines. Titles that hold a comma stay whole.
+    """
+    kept, mark = F.col("line"), "\u0001"
+    for title in sorted(with_commas, key=len, reverse=True):
+        kept = F.replace(kept, F.lit(title), F.lit(title.replace("、", mark)))
+    lines = cases.select("id", F.posexplode(F.col("kankeihrei")).alias("line_nr", "line")).withColumn("line", _plain_column("line"))
+    rows = lines.select("id", "line_nr", F.posexplode(F.split(kept, "[、，,]")).alias("part_nr", "raw")).withColumn("raw", F.replace("raw", F.lit(mark), F.lit("、")))
+    cites = F.col("raw").rlike(CITED)
+    name = F.regexp_replace(F.regexp_extract("raw", CITED, 1), r"\(.*?\)", "")
+    named = F.when(cites, F.when(name != "", name)).when((F.col("raw") != "") & ~F.contains("raw", F.lit("第")), F.col("raw"))
+    order = Window.partitionBy("id").orderBy("line_nr", "part_nr").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("law", F.last(named, ignorenulls=True).over(order)).withColumn("nr", F.struct("line_nr", "part_nr"))
+    path = F.concat(F.regexp_extract("raw", CITED, 2), F.replace(F.regexp_extract("raw", CITED, 3), F.lit("の"), F.lit("-")))
+    return rows.filter(cites & F.col("law").isNotNull()).select("id", "nr", "law", path.alias("path"), "raw")
+
+
+def _plain_column(column: str) -> Column:
+    """``plain`` of a column, in Arrow batches: the engine has no NFKC of its own."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else plain(t))
+
+    return run(column)
 
 
 def resolve_gold(cases: DataFrame, laws: DataFrame, articles: DataFrame, with_commas: list[str] = ()) -> DataFrame:
     """(id, gold_articles, external_refs, out_of_scope_refs, unresolved). cases: (id, kankeihrei); laws: (name, law_id) in plain spelling; articles: (id)."""
-    parse = F.udf(lambda lines: parse_list(lines, with_commas), "array<struct<law:string,path:string,raw:string>>")
     names = F.create_map(*[F.lit(plain(x)) for kv in LIST_NAMES.items() for x in kv])
-    refs = cases.select("id", F.posexplode(parse("kankeihrei")).alias("nr", "r")).select("id", "nr", "r.*")
+    refs = entries(cases, with_commas)
     refs = refs.withColumn("name", F.coalesce(names[F.col("law")], F.regexp_replace("law", "^[「」『』()（）]+|[「」『』()（）]+$", "")))
     found = refs.join(laws.select("name", "law_id"), "name", "left").withColumn("node", F.concat_ws("_a", "law_id", "path"))
     found = found.join(articles.select(F.col("id").alias("node"), F.lit(True).alias("there")), "node", "left")
@@ -64,3 +79,27 @@ def resolve_gold(cases: DataFrame, laws: DataFrame, articles: DataFrame, with_co
     sums = each.groupBy("id").agg(F.array_distinct(gathered("gold", "node")).alias("gold_articles"), gathered("external", "raw").alias("external_refs"), gathered("out_of_scope", "raw").alias("out_of_scope_refs"), gathered("unresolved", "raw").alias("unresolved"))
     none = F.array().cast("array<string>")
     return cases.select("id").join(sums, "id", "left").select("id", *[F.coalesce(c, none).alias(c) for c in ("gold_articles", "external_refs", "out_of_scope_refs", "unresolved")])
+
+
+def gold_statistics(cases: DataFrame, resolved: DataFrame, top: int = 25) -> tuple[DataFrame, DataFrame]:
+    """(metric, value) over all cases: references, those in each bucket, cases with and without gold; and the most frequent unresolved ones."""
+    size = lambda c: F.sum(F.size(c))
+    one = resolved.agg(
+        F.count("*").alias("cases"),
+        F.sum((F.size("gold_articles") > 0).cast("int")).alias("cases_with_gold"),
+        size("gold_articles").alias("resolved"),
+        size("external_refs").alias("external"),
+        size("out_of_scope_refs").alias("out_of_scope"),
+        size("unresolved").alias("unresolved"),
+    )
+    metrics = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.coalesce(F.col(c), F.lit(0)).cast("long").alias("value")) for c in one.columns])).alias("m")).select("m.*")
+    lost = resolved.select(F.explode("unresolved").alias("raw")).groupBy("raw").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "raw").limit(top)
+    return metrics, lost
+
+
+def gold_rows(cases: DataFrame, laws: DataFrame, articles: DataFrame) -> DataFrame:
+    """GOLD rows: each case with its question, its answer and the buckets of what its lists name. laws: (name, law_id) as titled; a plain spelling that several laws share is none's."""
+    spelt = unambiguous(laws.select(_plain_column("name").alias("name"), "law_id"), "name", "law_id")
+    commas = [r["name"] for r in spelt.filter(F.contains("name", F.lit("、"))).select("name").collect()]  # a few hundred titles
+    found = resolve_gold(cases, spelt, articles, commas)
+    return cases.select("id", F.col("shokai").alias("query"), F.col("kaito").alias("answer")).join(found, "id")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.tables import durable
+
 
 def weighted_pairs(edges: DataFrame, src: str = "src", tgt: str = "tgt") -> DataFrame:
     """(src, tgt, n): links between different ends, counted."""
@@ -32,47 +34,65 @@ def shortest_path(pairs: DataFrame, start, goal, most_hops: int = 4) -> DataFram
     """(hops, path): a shortest chain of outgoing links, heavier links first on ties; no row if there is none.
 
     A breadth-first search by joins: each hop joins the frontier with the links, drops the
-    nodes seen before, and keeps one way to each new node. Frontiers stay distributed.
+    nodes seen before, and keeps one way to each new node. Frontiers stay distributed, and
+    are written, so a hop's plan doesn't hold the hops before it.
     """
-    spark = pairs.sparkSession
-    node_type = pairs.schema["src"].dataType.simpleString()
-    frontier = spark.range(1).select(F.lit(start).cast(node_type).alias("node"), F.array(F.lit(start).cast(node_type)).alias("path"), F.array().cast("array<bigint>").alias("cost"))
-    seen = frontier.select("node")
-    if start == goal:
-        return frontier.select(F.lit(0).cast("long").alias("hops"), F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
-    found = None
-    for hop in range(1, most_hops + 1):
-        step = frontier.join(pairs.withColumnRenamed("src", "node"), "node").filter(~F.array_contains("path", F.col("tgt")))
-        step = step.select(F.col("tgt").alias("node"), F.concat("path", F.array("tgt")).alias("path"), F.concat("cost", F.array(-F.col("n"))).alias("cost"))
-        step = step.join(seen, "node", "left_anti")
-        best = Window.partitionBy("node").orderBy("cost", "path")
-        frontier = step.withColumn("rn", F.row_number().over(best)).filter("rn = 1").drop("rn")
+    spark, kind = pairs.sparkSession, pairs.schema["src"].dataType.simpleString()
+    frontier = spark.range(1).select(F.lit(start).cast(kind).alias("node"), F.array(F.lit(start).cast(kind)).alias("path"), F.array().cast("array<bigint>").alias("cost"))
+    seen, links = frontier.select("node"), pairs.withColumnRenamed("src", "node")
+    best = Window.partitionBy("node").orderBy("cost", "path")
+    found = frontier.filter(F.col("node") == F.lit(goal).cast(kind))
+    hops = 0
+    while start != goal and hops < most_hops:
+        hops += 1
+        step = frontier.join(links, "node").select(F.col("tgt").alias("node"), F.concat("path", F.array("tgt")).alias("path"), F.concat("cost", F.array(-F.col("n"))).alias("cost"))
+        step = step.join(seen, "node", "left_anti").withColumn("rn", F.row_number().over(best)).filter("rn = 1").drop("rn")
+        frontier = durable(step)
+        found = frontier.filter(F.col("node") == F.lit(goal).cast(kind))
+        if frontier.isEmpty() or not found.isEmpty():
+            break
         seen = seen.unionByName(frontier.select("node"))
-        hit = frontier.filter(F.col("node") == F.lit(goal)).select(F.lit(hop).cast("long").alias("hops"), F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
-        found = hit if found is None else found.unionByName(hit)
-    return found.orderBy("hops").limit(1)
-
+    return found.select(F.lit(hops).cast("long").alias("hops"), F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
 
-def expand_scores(hits: DataFrame, links: DataFrame, weight: float, key: str = "node", score: str = "score") -> DataFrame:
-    """Scores after one hop: each hit hands its neighbours ``weight`` times its score, and their sum joins their own."""
-    passed = hits.join(links, hits[key] == links["src"]).select(F.col("tgt").alias(key), (F.col(score) * weight).alias(score))
-    return hits.select(key, score).unionByName(passed).groupBy(key).agg(F.sum(score).alias(score))
 
+def expand_scores(hits: DataFrame, links: DataFrame, weight: float, key: str = "node", score: str = "score", query: str | None = None, top: int | None = None, most_links: int | None = None) -> DataFrame:
+    """Scores after one hop: each hit hands the nodes it links to ``weight`` times its score, and their sum joins their own.
 
-def depths(nodes: DataFrame, most: int = 12) -> DataFrame:
-    """(id, depth) of every node below a root (null parent), level by level; cycles are never reached."""
-    level = nodes.filter(F.col("parent_id").isNull()).select("id", F.lit(0).cast("long").alias("depth"))
-    out = level
-    children = nodes.filter(F.col("parent_id").isNotNull()).select("id", "parent_id")
-    for d in range(1, most + 1):
-        level = children.join(level.select(F.col("id").alias("parent_id")), "parent_id").select("id", F.lit(d).cast("long").alias("depth"))
-        out = out.unionByName(level)
-    return out
+    query: a column by which hits are parted. top: only so many of the best hits of each query
+    hand on (ties to the smaller key); most_links: each over so many of its links at most, the
+    first by the links' column ``occ_seq``. These two limits are what is asked for, as in a top-k.
+    """
+    by = [query] if query else []
+    givers = hits
+    if top is not None:
+        best = Window.partitionBy(*by).orderBy(F.desc(score), key) if by else Window.orderBy(F.desc(score), key)
+        givers = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).drop("rank")
+    if most_links is not None:
+        first = Window.partitionBy("src").orderBy("occ_seq", "tgt")
+        links = links.join(givers.select(F.col(key).alias("src")).distinct(), "src", "left_semi").withColumn("nr", F.row_number().over(first)).filter(F.col("nr") <= most_links)
+    passed = givers.join(links.select("src", "tgt"), givers[key] == links["src"]).select(*by, F.col("tgt").alias(key), (F.col(score) * weight).alias(score))
+    return hits.select(*by, key, score).unionByName(passed).groupBy(*by, key).agg(F.sum(score).alias(score))
+
+
+def depths(nodes: DataFrame) -> DataFrame:
+    """(id, depth) of every node below a root (null parent): the least number of steps to one.
+
+    Level by level until one is empty. A level is written, so the next one's plan holds only
+    it; a node seen before isn't taken again, so a cycle comes to an end.
+    """
+    level = durable(nodes.filter(F.col("parent_id").isNull()).select("id").distinct())
+    children, out, depth = nodes.filter(F.col("parent_id").isNotNull()).select("id", "parent_id"), None, 0
+    while not level.isEmpty():
+        here = level.withColumn("depth", F.lit(depth).cast("long"))
+        out, depth = here if out is None else out.unionByName(here), depth + 1
+        below = children.join(level.select(F.col("id").alias("parent_id")), "parent_id").select("id").distinct()
+        level = durable(below.join(out.select("id"), "id", "left_anti"))
+    return out if out is not None else level.withColumn("depth", F.lit(0).cast("long"))
 
 
-def unreachable(nodes: DataFrame, most: int = 12) -> DataFrame:
+def unreachable(nodes: DataFrame) -> DataFrame:
     """Nodes below no root: orphans' subtrees and cycles."""
-    return nodes.select("id").join(depths(nodes, most).select("id"), "id", "left_anti")
+    return nodes.select("id").join(depths(nodes).select("id"), "id", "left_anti")
 
 
 def descendants(nodes: DataFrame, root: Column | str, sep: str = "_") -> DataFrame:

@@ -11,12 +11,13 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions.citations import NUMBER, branches
+from lexloom.functions.ids import article_of
 from lexloom.functions.numerals import to_int
-from lexloom.operators.bm25 import B, K1, LEAST_IDF, bm25_scores
+from lexloom.operators.bm25 import B, K1, LEAST_IDF, bm25_top, indexed
 
 #: A hit in the heading counts twice.
 HEADING_WEIGHT, BODY_WEIGHT = 2, 1
@@ -91,9 +92,36 @@ def snippet(body: Column, terms: list[str], width: int = SNIPPET) -> Column:
     return F.concat(F.when(at > width // 3, "…").otherwise(""), F.replace(out, F.lit("\n"), F.lit(" ")), F.lit("…"))
 
 
-def natural_search(rows: DataFrame, queries: DataFrame, key: str, body: str, qkey: str, text: str) -> DataFrame:
-    """(qkey, key, score): BM25 of any shared trigram."""
-    return bm25_scores(rows.select(key, body), queries.select(qkey, text), key=key, qkey=qkey, text=body, qtext=text)
+def natural_search(rows: DataFrame, queries: DataFrame, key: str, body: str, qkey: str, text: str, k: int = 100, heading: str | None = None, index: DataFrame | None = None) -> DataFrame:
+    """(qkey, key, score, rank): the k best rows of each query by BM25 of any shared trigram, headings weighing HEADING_WEIGHT. index: as ``search_index`` gave it, of these rows."""
+    return bm25_top(rows, queries.select(qkey, text), k, key=key, qkey=qkey, text=body, qtext=text, heading=heading, heading_weight=HEADING_WEIGHT, index=index)
+
+
+def search_index(rows: DataFrame, key: str, body: str, heading: str) -> DataFrame:
+    """All trigrams of each row with their weighted frequencies, to be stored beside the chunks."""
+    return indexed(rows, None, key, {body: BODY_WEIGHT, heading: HEADING_WEIGHT})
+
+
+def graph_search(hits: DataFrame, articles: DataFrame, edges: DataFrame, qkey: str, key: str, expand: int = 20, links: int = 50, weight: float = 0.5) -> DataFrame:
+    """(qkey, article, rank): articles of ranked hits and those that the best hits cite, by reciprocal ranks.
+
+    An article scores 1 / (59 + rank) of its best hit. Each of the ``expand`` best hits hands
+    ``weight`` times its own score to the articles that its first ``links`` citations go to.
+    articles: (key, article) of what is searched; edges: EDGE rows.
+    """
+    reciprocal = 1 / (F.col("rank") + 59)
+    placed = hits.join(articles.select(key, "article"), key, "left").withColumn("score", reciprocal)
+    own = placed.filter("article is not null").groupBy(qkey, "article").agg(F.max("score").alias("score"))
+    first = Window.partitionBy("hit").orderBy("occ_seq", "target")
+    cites = edges.filter("rel = 'CITES'").select(F.col("source"), "target", "occ_seq")
+    # a chunk's citations are those of its node and of what lies below it
+    best = placed.filter(F.col("rank") <= expand).select(qkey, F.col(key).alias("hit"), F.col("article").alias("from"), "score")
+    ends = cites.withColumn("hit", F.explode(F.array_distinct(F.array("source", F.regexp_replace("source", "_i[0-9][0-9-]*$", "")))))
+    near = ends.join(best.select("hit").distinct(), "hit", "left_semi").withColumn("nr", F.row_number().over(first)).filter(F.col("nr") <= links)
+    passed = best.join(near, "hit").withColumn("article", article_of(F.col("target"))).filter(F.col("article").isNotNull() & ~F.col("article").eqNullSafe(F.col("from")))
+    passed = passed.groupBy(qkey, "article").agg((F.sum("score") * weight).alias("score"))
+    sums = own.unionByName(passed).groupBy(qkey, "article").agg(F.round(F.sum("score"), 9).alias("score"))
+    return sums.select(qkey, "article", F.row_number().over(Window.partitionBy(qkey).orderBy(F.desc("score"), "article")).cast("long").alias("rank"))
 
 
 def filtered(found: DataFrame, laws: DataFrame, law_type: str | None = None, active: bool = True, section: str | None = None, law_id: str | None = None) -> DataFrame:

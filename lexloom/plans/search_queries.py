@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.operators import evaluation, search
-from lexloom.operators.bm25 import bm25_scores, postings, terms_of, top_k
+from lexloom.operators.bm25 import bm25_top, postings, terms_of
 from lexloom.plans.registry import query
 from lexloom.session import table
 
@@ -23,14 +23,14 @@ s AS (SELECT item_id, doc_id, round(sum(greatest(ln((n - df + 0.5) / (df + 0.5))
 ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)"""
 
 
-def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _top(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bm25_scores(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return bm25_top(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), k)
 
 
 @query("bm25_topk", f"WITH {SCORES} SELECT item_id, doc_id, score, rank FROM ranked WHERE rank <= 10")
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(_scores(spark, sf_dir), 10)
+    return _top(spark, sf_dir, 10)
 
 
 GOLD = "gold AS (SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text))"
@@ -43,7 +43,6 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from pyspark.sql import Window
 
-
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     terms = terms_of(items, "item_id", "passage")
@@ -66,7 +65,7 @@ SELECT count(*) AS n, round(avg(CASE WHEN first < 1 THEN 1.0 ELSE 0.0 END), 4) A
  round(avg(CASE WHEN first < 20 THEN 1.0 ELSE 0.0 END), 4) AS hit_20, round(avg(CASE WHEN first < 50 THEN 1.0 ELSE 0.0 END), 4) AS hit_50, round(avg(coalesce(1.0 / (first + 1), 0.0)), 4) AS mrr FROM f""",
 )
 def retrieval_measures(spark, sf_dir):
-    ranked = top_k(_scores(spark, sf_dir), 50)
+    ranked = _top(spark, sf_dir, 50)
     return evaluation.retrieval_measures(evaluation.first_ranks(ranked, _gold(spark, sf_dir), "item_id", "doc_id"))
 
 

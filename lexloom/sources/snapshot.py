@@ -98,6 +98,37 @@ def take_snapshot(output: str, archive: str | None = None, url: str | None = Non
         shutil.rmtree(staged, ignore_errors=True)
 
 
-def load_aliases(path: str) -> dict[str, str]:
-    """Alias to title, from a JSON object; keys that begin with _ are notes."""
-    return {k: v for k, v in json.loads(Path(path).read_text(encoding="utf-8")).items() if not k.startswith("_")}
+# Short names that no list has.
+COMMON_ALIASES = {
+    "農協法": "農業協同組合法",
+    "番号利用法": "行政手続における特定の個人を識別するための番号の利用等に関する法律",
+    "高齢者医療確保法": "高齢者の医療の確保に関する法律",
+    "情報通信技術活用法": "情報通信技術を活用した行政の推進等に関する法律",
+    "子育て支援法": "子ども・子育て支援法",
+    "財政構造改革法": "財政構造改革の推進に関する特別措置法",
+    "健保法": "健康保険法",
+    "健保令": "健康保険法施行令",
+    "新健保令": "健康保険法施行令",
+    "指圧師、はり師、きゆう師等に関する法律": "あん摩マツサージ指圧師、はり師、きゆう師等に関する法律",
+}
+
+
+def load_aliases(*paths: str) -> dict[str, str]:
+    """Alias to title, from JSON objects; keys that begin with _ are notes. An alias counts as the first list has it, and the common ones last. One list may not give an alias two titles."""
+    out: dict[str, str] = {}
+    for path in paths:
+        own: dict[str, str] = {}
+        for alias, title in json.loads(Path(path).read_text(encoding="utf-8"), object_pairs_hook=list):
+            if alias.startswith("_"):
+                continue
+            if own.setdefault(alias, title) != title:
+                raise ValueError(f"two titles for {alias!r}: {own[alias]!r} and {title!r}")
+        out = own | out
+    return COMMON_ALIASES | out
+
+
+def listed_snapshots(folder: str) -> list[str]:
+    """Snapshots in a folder of releases, newest first, each with its manifest."""
+    from lexloom.sources.release import snapshots
+
+    return snapshots(Path(folder))

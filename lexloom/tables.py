@@ -2,14 +2,35 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The rows, checkpointed in spark.checkpoint.dir (a local folder where that is unset, as in tests)."""
+    """The rows, checkpointed in spark.checkpoint.dir, or in a local folder where that is unset and all runs on this machine (tests)."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexloom-"))
+        known = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if known is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(known or tempfile.mkdtemp(prefix="lexloom-"))
     return df.checkpoint(eager=True)
+
+
+def running(df: DataFrame, order: list[Column], value: str) -> DataFrame:
+    """Adds ``before``: the sum of a value over all rows before a row, in an order over the whole table.
+
+    Rows lie in range partitions; a row's sum is that of the partitions before and of the
+    rows before it inside its own, so no task holds more than a partition and a row for each.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = durable(df.repartitionByRange(width, *order).withColumn("part", F.spark_partition_id()))
+    whole = Window.orderBy("pt").rowsBetween(Window.unboundedPreceding, -1)
+    sums = parts.groupBy(F.col("part").alias("pt")).agg(F.sum(value).alias("s"))  # spark.sql.shuffle.partitions rows at most
+    sums = sums.select("pt", F.coalesce(F.sum("s").over(whole), F.lit(0)).alias("s"))
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = parts.withColumn("inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return rows.join(F.broadcast(sums), F.col("part") == F.col("pt")).withColumn("before", F.col("s") + F.col("inside")).drop("part", "pt", "s", "inside")
