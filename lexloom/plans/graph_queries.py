@@ -16,7 +16,7 @@ TREE = """tree AS (SELECT 'r' || r_regionkey AS id, CAST(NULL AS VARCHAR) AS par
  UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, 'Nation' FROM nation
  UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, 'Customer' FROM customer
  UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey, 'Order' FROM orders
- UNION ALL SELECT 'l' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey, 'o' || l_orderkey, 'Line' FROM lineitem)"""
+ UNION ALL SELECT DISTINCT 'l' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey, 'o' || l_orderkey, 'Line' FROM lineitem)"""
 
 
 def tree(spark: SparkSession, d: str) -> DataFrame:
@@ -28,7 +28,7 @@ def tree(spark: SparkSession, d: str) -> DataFrame:
         part = table(spark, d, name).select(F.concat(F.lit(mark), F.col(key).cast("string")).alias("id"), up.alias("parent_id"), F.lit(kind).alias("type"))
         out = part if out is None else out.unionByName(part)
     line = F.concat(F.lit("l"), F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]))
-    return out.unionByName(table(spark, d, "lineitem").select(line.alias("id"), F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("parent_id"), F.lit("Line").alias("type")))
+    return out.unionByName(table(spark, d, "lineitem").select(line.alias("id"), F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("parent_id"), F.lit("Line").alias("type")).distinct())
 
 
 @query("node_counts", f"WITH {TREE} SELECT type, count(*) AS n FROM tree GROUP BY type")

@@ -5,17 +5,17 @@ Their SQL states the rows that must come out.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions.ids import article_of, law_of, law_type, path_key
 from lexloom.functions.numerals import kanji_number
 from lexloom.operators import build as builds
-from lexloom.operators import checks, names, search
+from lexloom.operators import checks, names, resolve, search
 from lexloom.plans.registry import query
 from lexloom.session import table
 from lexloom.sources import release
-from lexloom.sources.statutes import contains_edges
+from lexloom.sources.statutes import contains_edges, parse_documents, parse_stats
 
 ACT, ORDER = "997AC0000000001", "997CO0000000002"
 
@@ -106,6 +106,75 @@ def statute_lookup(spark, sf_dir):
     return search.first_existing(_built(spark).nodes, ids).select("id", "rank")
 
 
+# ---------------------------------------------------------------- a corpus as large as the tables
+
+_KANJI = "零一二三四五六七八九"
+_PAIRS = """t AS (SELECT l_suppkey AS a, lead(l_suppkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS b FROM lineitem),
+p AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY b) AS j FROM (SELECT DISTINCT a, b FROM t WHERE b IS NOT NULL AND a <> b)),
+l AS (SELECT s_suppkey AS k, '401AC' || lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS id FROM supplier)"""
+
+
+def supplier_statutes(spark: SparkSession, d: str) -> DataFrame:
+    """Documents: a law for each supplier, whose third article cites the law of each supplier that comes next in an order."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    along = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    pairs = lines.select(F.col("l_suppkey").alias("a"), F.lead("l_suppkey").over(along).alias("b")).filter("b is not null and a <> b").distinct()
+    title = lambda k: F.concat(F.translate(k.cast("string"), "0123456789", _KANJI), F.lit("番水運法"))
+    cited = F.concat(title(F.col("b")), F.lit("第二条第一項及び第一条の規定は、前項の場合に準用する。"))
+    # a law's paragraphs are one document, as they would be in a file
+    paragraphs = pairs.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("b", cited.alias("text")))).alias("cited"))
+    number = lambda i: (i + 1).cast("string")
+    written = F.array_join(F.transform("cited", lambda x, i: F.concat(F.lit('<Paragraph Num="'), number(i), F.lit('"><ParagraphSentence><Sentence>'), x["text"], F.lit("</Sentence></ParagraphSentence></Paragraph>"))), "")
+    third = F.when(F.col("cited").isNotNull(), F.concat(F.lit('<Article Num="3"><ArticleTitle>第三条</ArticleTitle>'), written, F.lit("</Article>"))).otherwise("")
+    laws = table(spark, d, "supplier").select(F.col("s_suppkey").alias("a")).join(paragraphs, "a", "left")
+    main = F.concat(F.lit(_a("1", _p(1, "この法律は、水運を定める。")) + _a("2", _p(1, "前条の規定は、次条に準用する。"))), third)
+    content = F.concat(F.lit("<Law><LawNum></LawNum><LawBody><LawTitle>"), title(F.col("a")), F.lit("</LawTitle><MainProvision>"), main, F.lit("</MainProvision></LawBody></Law>"))
+    law_id = F.concat(F.lit("401AC"), F.lpad(F.col("a").cast("string"), 10, "0"))
+    return laws.select(law_id.alias("law_id"), F.lit("20200101_0").alias("mst_id"), F.lit("20200101").alias("enforcement_date"), F.lit("").alias("path"), content.alias("content"))
+
+
+@query(
+    "corpus_edges",
+    f"""WITH {_PAIRS}, e AS (SELECT id || '_a2_p1' AS source, id || '_a1' AS target, 'REFERENTIAL/前条' AS extracted_from FROM l
+UNION ALL SELECT id || '_a2_p1', id || '_a3', 'REFERENTIAL/次条' FROM l WHERE k IN (SELECT a FROM p)
+UNION ALL SELECT x.id || '_a3_p' || j, y.id || '_a2_p1', 'EXTERNAL_FULL_PAT/canonical' FROM p JOIN l x ON x.k = a JOIN l y ON y.k = b
+UNION ALL SELECT x.id || '_a3_p' || j, y.id || '_a1', 'INTERNAL_PAT/enum_carryover' FROM p JOIN l x ON x.k = a JOIN l y ON y.k = b
+UNION ALL SELECT x.id || '_a3_p' || j, x.id || '_a3_p' || (j - 1), 'REFERENTIAL/前項' FROM p JOIN l x ON x.k = a WHERE j > 1)
+SELECT source, target, 'CITES' AS rel, extracted_from FROM e""",
+)
+def corpus_edges(spark, sf_dir):
+    return builds.build(supplier_statutes(spark, sf_dir), "20260101").edges.select("source", "target", "rel", "extracted_from")
+
+
+@query(
+    "corpus_outcomes",
+    f"""WITH {_PAIRS}, o AS (SELECT 'external_resolved_exact' AS outcome, 'canonical' AS via, (SELECT count(*) FROM p) AS n UNION ALL SELECT 'external_resolved_exact', 'enum_carryover', (SELECT count(*) FROM p)
+UNION ALL SELECT 'referential_resolved', '前条', (SELECT count(*) FROM l) UNION ALL SELECT 'referential_resolved', '次条', (SELECT count(DISTINCT a) FROM p) UNION ALL SELECT 'referential_resolved', '前項', (SELECT count(*) FROM p WHERE j > 1)
+UNION ALL SELECT 'referential_unresolved', NULL, (SELECT count(*) FROM l) - (SELECT count(DISTINCT a) FROM p) + (SELECT count(*) FROM p WHERE j = 1)) SELECT outcome, via, CAST(n AS BIGINT) AS n FROM o WHERE n > 0""",
+)
+def corpus_outcomes(spark, sf_dir):
+    """What became of all mentions, by way of resolution."""
+    return resolve.outcome_counts(builds.build(supplier_statutes(spark, sf_dir), "20260101").mentions)
+
+
+@query(
+    "corpus_counters",
+    f"""WITH {_PAIRS}, c AS (SELECT a, count(*) AS n FROM p GROUP BY a) SELECT id AS law_id, CAST(2 + (CASE WHEN n IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS articles, CAST(2 + coalesce(n, 0) AS BIGINT) AS paragraphs, CAST(0 AS BIGINT) AS items, CAST(0 AS BIGINT) AS skipped FROM l LEFT JOIN c ON a = k""",
+)
+def corpus_counters(spark, sf_dir):
+    return parse_stats(parse_documents(supplier_statutes(spark, sf_dir))).select("law_id", "articles", "paragraphs", "items", "skipped")
+
+
+@query(
+    "corpus_article_links",
+    f"""WITH {_PAIRS}, e AS (SELECT x.id AS src_law, y.id AS tgt_law, unnest(['2', '1']) AS tgt_article FROM p JOIN l x ON x.k = a JOIN l y ON y.k = b) SELECT DISTINCT src_law, '3' AS src_article, tgt_law, tgt_article FROM e""",
+)
+def corpus_article_links(spark, sf_dir):
+    """Distinct links between articles over the citations of named laws."""
+    built = builds.build(supplier_statutes(spark, sf_dir), "20260101")
+    return release.article_links(built.edges, built.nodes)
+
+
 NUMERALS = [("十", 10), ("二十一", 21), ("百五", 105), ("千二百三十", 1230), ("一二", 12), ("七", 7), ("34", 34), ("10の2", 10)]
 
 
@@ -140,8 +209,6 @@ def id_functions(spark, sf_dir):
 
 @query("path_order", "SELECT p, row_number() OVER (ORDER BY a, b NULLS FIRST) AS nr FROM (SELECT DISTINCT p_size || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE '-' || (p_partkey % 13) END AS p, p_size AS a, CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE p_partkey % 13 END AS b FROM part)")
 def path_order(spark, sf_dir):
-    from pyspark.sql import Window
-
     paths = table(spark, sf_dir, "part").select(F.concat(F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 2 == 0, "").otherwise(F.concat(F.lit("-"), (F.col("p_partkey") % 13).cast("string")))).alias("p")).distinct()
     # a few hundred paths of one law's articles
     return paths.select("p", F.row_number().over(Window.orderBy(path_key(F.col("p")))).cast("long").alias("nr"))
