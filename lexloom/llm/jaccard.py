@@ -94,8 +94,10 @@ def _bits_set(positions: DataFrame) -> np.ndarray:
     """A bitmap of 2 ** BITMAP_BITS bits from a table of positions; at most 2 ** (BITMAP_BITS - 6) rows reach the driver."""
     words = positions.groupBy(F.shiftright("pos", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, pos & 63)")).alias("b"))
     out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.int64)
-    got = words.toPandas()
-    out[got["w"].to_numpy(dtype=np.int64)] = got["b"].to_numpy(dtype=np.int64)
+    got = words.toArrow()
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy()
+    del got
+    S.hand_back()
     return out.view(np.uint64)
 
 
@@ -189,6 +191,7 @@ def bitmaps(levels: DataFrame, *least: int) -> np.ndarray:
         for k, level in enumerate(least):
             if r["level"] >= level:
                 out[k, r["bucket"] * size : (r["bucket"] + 1) * size] |= piece
+    S.hand_back()
     return out.view(np.uint64)
 
 

@@ -93,20 +93,21 @@ def has_letter(texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.nda
 
 def svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights and bias (last) of a linear machine for labels +1 and -1, by dual coordinate descent on squared hinge loss."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
+    w, b, alpha = np.zeros(x.shape[1]), 0.0, np.zeros(len(x))
     share = {s: COST * len(y) / (2 * max(1, (y == s).sum())) for s in (1, -1)}  # both sides weigh alike
     damp = np.array([0.5 / share[int(s)] for s in y])
-    scale = (x * x).sum(axis=1) + damp
+    scale = np.einsum("ij,ij->i", x, x) + 1 + damp  # the bias is the weight of a feature that is always 1
     order = np.random.Generator(np.random.PCG64(1))
     for _ in range(EPOCHS):
         for i in order.permutation(len(x)):
-            g = y[i] * (w @ x[i]) - 1 + damp[i] * alpha[i]
+            g = y[i] * (w @ x[i] + b) - 1 + damp[i] * alpha[i]
             new = max(0.0, alpha[i] - g / scale[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                w += step * x[i]
+                b += step
                 alpha[i] = new
-    return w
+    return np.append(w, b)
 
 
 def fitted(spark: SparkSession, machine: Callable, total: int, *sample: np.ndarray) -> list[np.ndarray]:
@@ -225,7 +226,12 @@ def train(docs: DataFrame, key: str, text: str, lang: str) -> Model | None:
     # read in place: as objects the rows would be held several times over
     x = np.frombuffer(cells.buffers()[2], dtype=np.float32)[: len(langs) * WIDTH].reshape(-1, WIDTH)
     order = sorted(range(len(langs)), key=lambda i: (langs[i], zlib.crc32(x[i]), i))
-    return Model(x[order], [langs[i] for i in order], docs.sparkSession)
+    x, langs = x[order], [langs[i] for i in order]
+    del sample, cells, order  # the rows are held once while the machines are fitted
+    model = Model(x, langs, docs.sparkSession)
+    del x
+    S.hand_back()
+    return model
 
 
 def classify(batches: Iterator[pa.RecordBatch], model: Model | None, at: int) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray, list, np.ndarray]]:

@@ -81,17 +81,22 @@ def keyed(docs: DataFrame, key: str, text: str, **more: str) -> DataFrame:
     return batched(named(docs, doc_id=key, text=text, **more)).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
 
 
+def hand_back() -> None:
+    """Gives memory that is free in this process back to the machine; it would be kept beside the engine's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def trimmed(run: Callable) -> Callable:
-    """A function of batches that hands freed memory back when its task ends. Workers live on, and would keep it beside the engine's."""
+    """A function of batches that hands freed memory back when its task ends, as workers live on."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            hand_back()
 
     return whole
 
