@@ -12,7 +12,10 @@ The classifier is fitted on a hash sample of about SAMPLE labelled ids, and of t
 documents at most twice as many; that bound is its only one. Rates and shrinkage cover all
 documents.
 
-Defined cases: a null text is empty; a null host or path is a host or path of its own.
+Pages have hosts and paths in their addresses (``with_site``); where documents carry none, the
+query takes their source for a host and, within a source, their language for a path.
+
+Defined cases: a null text is empty; a very long one is measured whole; a null host or path is a host or path of its own.
 Several labels of one id are averaged; null labels and ids say nothing. With no labels the
 classifier says nothing and every rate is its prior of one half; documents with nothing
 against them are kept. Repeated rows are documents each. Other columns are not read.
@@ -135,6 +138,14 @@ def shrinkage(groups: DataFrame, good: str, seen: str, prior) -> float:
     return MOST_SHRINK if beyond <= 1 / (1 + MOST_SHRINK) else min(MOST_SHRINK, max(LEAST_SHRINK, 1 / beyond - 1))
 
 
+def with_site(docs: DataFrame, url: str = "url", host: str = "host", path: str = "path") -> DataFrame:
+    """Adds the host and the first part of the path of each address; null where it has none. Case and a leading www. of a host don't count."""
+    address = F.col(url)
+    name = F.regexp_replace(F.lower(F.regexp_extract(address, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), r"^www\.", "")
+    part = F.regexp_extract(address, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1)
+    return docs.withColumn(host, F.nullif(name, F.lit(""))).withColumn(path, F.nullif(part, F.lit("")))
+
+
 def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """(doc_id, host, path, p_text, host_rate, path_rate, posterior, kept) of every document."""
     rows = S.keyed(docs, key, text, host=host, path=path).select("doc_id", F.col("host").cast("string"), F.col("path").cast("string"), "text")

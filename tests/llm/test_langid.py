@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -85,3 +86,59 @@ def test_certainty_does_not_fall_with_the_number_of_families():
 def test_little_to_learn_from(spark, data):
     got = langid.identify(spark.createDataFrame(data, SCHEMA)).collect()
     assert len(got) == len(data)
+
+
+def plain_prediction(model, row):
+    """One text's language and score by loops over the machines, as the docstring says."""
+    value = lambda w: sum(float(a) * float(b) for a, b in zip(row, w[:-1])) + float(w[-1])
+    margins = [value(w) for w in model.by_family] or [0.0]
+    family = model.families[max(range(len(margins)), key=lambda k: (margins[k], -k))]
+    score = 1 / sum(math.exp(2 * (m - max(margins))) for m in margins)
+    members = model.members[family]
+    wins, sure = dict.fromkeys(members, 0), dict.fromkeys(members, 0.0)
+    for (a, b), w in model.duels.items():
+        if a in wins:
+            p = 1 / (1 + math.exp(-4 * max(-20.0, min(20.0, value(w)))))
+            wins[a if p >= 0.5 else b] += 1
+            sure[a] += p
+            sure[b] += 1 - p
+    best = max(members, key=lambda m: (wins[m] + sure[m] / (len(members) + 1), [-ord(c) for c in m]))
+    return best, score * (sure[best] / (len(members) - 1) if len(members) > 1 else 1)
+
+
+def test_predictions_against_plain_loops():
+    rng = np.random.default_rng(4)
+    langs = ["en", "de", "nl", "fr", "es", "ru"] * 12
+    x = rng.random((len(langs), langid.WIDTH)).astype(np.float32) * (rng.random((len(langs), langid.WIDTH)) < 0.05)
+    x[np.arange(len(langs)), [hash_ for hash_ in (sorted(set(langs)).index(v) * 7 for v in langs)]] += 2
+    model = langid.Model(x, langs)
+    got_langs, scores, _, _ = model.predict(x)
+    for i in range(len(langs)):
+        want, score = plain_prediction(model, x[i])
+        assert got_langs[i] == want and abs(scores[i] - score) < 1e-3
+
+
+def test_machines_against_a_plain_solver(monkeypatch):
+    """The least of ||w||^2 / 2 + sum of C * hinge^2, reached by gradient steps, is what the dual descent reaches."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 8)).astype(np.float32)
+    y = np.where(x[:, 0] + 0.3 * rng.normal(size=60) > 0.4, 1, -1)
+    cost = np.array([langid.COST * len(y) / (2 * (y == v).sum()) for v in y])
+    ones = np.hstack([x, np.ones((len(x), 1))])
+    goal = lambda w: 0.5 * w @ w + (cost * np.maximum(0, 1 - y * (ones @ w)) ** 2).sum()
+    w, step = np.zeros(9), 1 / (1 + 2 * (cost[:, None] * ones * ones).sum())
+    for _ in range(20_000):
+        w -= step * (w - 2 * ones.T @ (cost * y * np.maximum(0, 1 - y * (ones @ w))))
+    monkeypatch.setattr(langid, "EPOCHS", 3000)
+    assert goal(langid.svm(x, y)) <= goal(w) * 1.01
+
+
+def test_repeated_rows_stay_within_the_sample(spark, monkeypatch):
+    """Many rows with one id and one text are drawn together, but no more than twice the sample."""
+    monkeypatch.setattr(langid, "SAMPLE", 40)
+    monkeypatch.setattr(langid, "LEAST_TEXTS", 10)
+    rows = [(None, "the cat sat on the mat and looked at the moon", "en")] * 3000 + [(i, f"der Hund lief durch den Wald und sah {i} Rehe", "de") for i in range(50)]
+    seen = []
+    monkeypatch.setattr(langid, "Model", lambda x, langs, spark: seen.append(len(langs)))
+    langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    assert seen and seen[0] <= 80

@@ -86,3 +86,22 @@ def test_odd_rows(spark, with_labels):
 
 def test_empty_tables(spark):
     assert Q.quality(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "doc_id long, quality int")).count() == 0
+
+
+def test_hosts_and_paths_of_addresses(spark):
+    cases = [("https://www.A.example.com/en/25#top", "a.example.com", "en"), ("http://u:p@b.org:80/x/y?z", "b.org", "x"), ("https://c.net?q", "c.net", None), ("nonsense", None, None), (None, None, None)]
+    docs = spark.createDataFrame(cases, "url string, h string, p string")
+    got = Q.with_site(docs)
+    assert got.filter("not (host <=> h and path <=> p)").count() == 0
+
+
+def test_sparse_sites_shrink_toward_the_global_rate(spark):
+    """Pages of many small hosts and one large bad one: a small host's rate stays near that of all, the large one's doesn't."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select(F.col("page_id").alias("doc_id"), "url", F.lit("plain words of a page " * 3).alias("text"))
+    docs = Q.with_site(pages)
+    count = {r["host"]: r["count"] for r in docs.groupBy("host").count().collect()}
+    large = max(count, key=lambda h: (count[h], h))
+    small = next(h for h in sorted(count) if count[h] == 1)
+    labels = docs.select("doc_id", F.when(F.col("host").isin(large, small), 0).otherwise(1).alias("quality"))
+    rates = {r["host"]: r["host_rate"] for r in Q.quality(docs, labels, "host", "path").collect()}
+    assert rates[large] < 0.3 < rates[small] < max(rates.values())
