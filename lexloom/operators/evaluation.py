@@ -64,13 +64,13 @@ def upper_median(rows: DataFrame, group: str, value: str) -> DataFrame:
     """
     counts = rows.groupBy(group, value).agg(F.count("*").alias("c"))
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = durable(counts.repartitionByRange(width, F.col(group).asc_nulls_last(), F.col(value).asc_nulls_last()).withColumn("part", F.spark_partition_id()))
-    sums = parts.groupBy(group, "part").agg(F.sum("c").alias("s"))  # a row for each group and partition at most
-    before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col(group).alias("g"), F.col("part").alias("pt"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("below"), F.sum("s").over(Window.partitionBy(group)).alias("n"))
-    inside = Window.partitionBy(group, "part").orderBy(F.col(value).asc_nulls_last())
-    placed = parts.withColumn("upto", F.sum("c").over(inside)).join(sums, F.col(group).eqNullSafe(F.col("g")) & (F.col("part") == F.col("pt")))
-    return placed.filter(F.col("upto") + F.col("below") > F.floor(F.col("n") / 2)).groupBy(group).agg(F.min(value).alias("p50"))
+    parts = durable(counts.repartitionByRange(width, F.col(group).asc_nulls_last(), F.col(value).asc_nulls_last()).withColumn("in_part", F.spark_partition_id()))
+    sums = parts.groupBy(group, "in_part").agg(F.sum("c").alias("s"))  # a row for each group and partition at most
+    before = Window.partitionBy(group).orderBy("in_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col(group).alias("of_group"), F.col("in_part").alias("of_part"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("below"), F.sum("s").over(Window.partitionBy(group)).alias("in_all"))
+    inside = Window.partitionBy(group, "in_part").orderBy(F.col(value).asc_nulls_last())
+    placed = parts.withColumn("upto", F.sum("c").over(inside)).join(sums, F.col(group).eqNullSafe(F.col("of_group")) & (F.col("in_part") == F.col("of_part")))
+    return placed.filter(F.col("upto") + F.col("below") > F.floor(F.col("in_all") / 2)).groupBy(group).agg(F.min(value).alias("p50"))
 
 
 # What a new release is held against, how far each figure may fall, and whether in points or as a share.
