@@ -86,6 +86,16 @@ def fingerprint(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(38,0)")).alias("s")).select(F.sha2(F.concat_ws(",", *[F.col(c).cast("string") for c in "nxs"]).cast("binary"), 256).alias("fingerprint"))
 
 
+def same_hash(nodes: DataFrame, contains: DataFrame, expected: dict[str, str] | None = None) -> DataFrame:
+    """V08: the fingerprints of nodes and containment are those expected, where any are; a build of the same documents must give the same."""
+    tables = {"nodes": nodes.select("id", "type", "title", "text", "parent_id"), "contains": contains.select("source", "target")}
+    parts = [fingerprint(df).select(F.lit(name).alias("name"), "fingerprint") for name, df in tables.items()]
+    wrong = F.lit(False)
+    for name, value in (expected or {}).items():
+        wrong = wrong | ((F.col("name") == name) & (F.col("fingerprint") != value))
+    return _row(_count(parts[0].unionByName(parts[1]).filter(wrong)), "V08")
+
+
 def counters(outcomes: DataFrame) -> DataFrame:
     return _row(_count(outcomes.filter("n < 0")), "V09")
 
@@ -104,7 +114,7 @@ def text_floors(nodes: DataFrame) -> DataFrame:
     return _row(_count(seen.filter(wrong)), "V11")
 
 
-def all_checks(nodes: DataFrame, contains: DataFrame, edges: DataFrame, outcomes: DataFrame) -> DataFrame:
+def all_checks(nodes: DataFrame, contains: DataFrame, edges: DataFrame, outcomes: DataFrame, expected: dict[str, str] | None = None) -> DataFrame:
     every = edges.select("rel").unionByName(contains.select("rel"))
-    rows = [id_format(nodes), ends_exist(nodes, contains), no_cycle(nodes), one_parent(nodes, contains), targets_exist(nodes, edges.filter("rel = 'CITES'")), kinds_used(nodes, every), quality(nodes, edges, outcomes), counters(outcomes), unique_ids(nodes), text_floors(nodes)]
+    rows = [id_format(nodes), ends_exist(nodes, contains), no_cycle(nodes), one_parent(nodes, contains), targets_exist(nodes, edges.filter("rel = 'CITES'")), kinds_used(nodes, every), quality(nodes, edges, outcomes), same_hash(nodes, contains, expected), counters(outcomes), unique_ids(nodes), text_floors(nodes)]
     return reduce(DataFrame.unionByName, rows)

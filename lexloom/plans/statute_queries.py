@@ -80,7 +80,7 @@ def statute_pending(spark, sf_dir):
     return _built(spark).pending.select("law_id", "enforcement_date", "previous")
 
 
-@query("statute_checks", 'SELECT "check", passed FROM (' + _values('"check", passed', [("V01", 1), ("V02", 1), ("V03", 1), ("V04", 1), ("V05", 1), ("V06", 0), ("V07", 0), ("V09", 1), ("V10", 1), ("V11", 0)]).replace(", 1)", ", true)").replace(", 0)", ", false)") + ")")
+@query("statute_checks", 'SELECT "check", passed FROM (' + _values('"check", passed', [("V01", 1), ("V02", 1), ("V03", 1), ("V04", 1), ("V05", 1), ("V06", 0), ("V07", 0), ("V08", 1), ("V09", 1), ("V10", 1), ("V11", 0)]).replace(", 1)", ", true)").replace(", 0)", ", false)") + ")")
 def statute_checks(spark, sf_dir):
     b = _built(spark)
     outcomes = b.mentions.groupBy("outcome").agg(F.count("*").alias("n"))

@@ -109,7 +109,7 @@ def test_checks(built, spark):
     contains = contains_edges(built.nodes)
     outcomes = built.mentions.groupBy("outcome").agg(F.count("*").alias("n"))
     got = {r.check: r for r in checks.all_checks(built.nodes, contains, built.edges, outcomes).collect()}
-    assert len(got) == 10 and all(got[c].passed for c in ("V01", "V02", "V03", "V04", "V05", "V09", "V10"))
+    assert len(got) == 11 and all(got[c].passed for c in ("V01", "V02", "V03", "V04", "V05", "V08", "V09", "V10"))
     assert not got["V07"].passed and got["V07"].severity == "WARN"
     loop = spark.createDataFrame([("a", None), ("b", "c"), ("c", "b"), ("d", "zz")], "id string, parent_id string")
     assert checks.no_cycle(loop).first().bad == 2
@@ -138,3 +138,10 @@ def test_release(built, tmp_path):
     assert built.edges.sparkSession.read.json(f"{tmp_path}/edges").count() == built.edges.count()
     release.write_csv(release.law_table(built.nodes), f"{tmp_path}/laws")
     assert built.edges.sparkSession.read.csv(f"{tmp_path}/laws", header=True).count() == 3
+
+
+def test_fingerprints_tell_builds_apart(built):
+    contains = contains_edges(built.nodes)
+    same = checks.fingerprint(contains.select("source", "target").repartition(3)).first()[0]
+    assert checks.same_hash(built.nodes, contains, {"contains": same}).first().passed
+    assert not checks.same_hash(built.nodes, contains, {"contains": "0"}).first().passed
