@@ -308,12 +308,12 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 def mask_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
     """The documents with each span of personal data replaced by its kind in angle brackets.
 
-    The texts are gone through twice: once for the classifier, once to change them. So rows
-    needn't be told apart by an id. A span that begins inside another is part of it. A
-    column named as ``length`` follows the text.
+    The texts are gone through once: rows are written with their candidates, learned from and
+    then changed, so they needn't be told apart by an id. A span that begins inside another is
+    part of it. A column named as ``length`` follows the text.
     """
-    weights = learn(candidates(S.stored(scan(docs, key, text), "pii-scan")))
-    found = accepted(candidates(scan(docs, key, text, carry=True)), weights)
+    known = S.stored(candidates(scan(docs, key, text, carry=True)), "pii-rows")
+    found = accepted(known, learn(known))
     spans = F.array_sort(F.transform("found", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("to"), x["e"].alias("e"), x["kind"].alias("kind"))))
     at = S.place(docs.columns, text)
     whole = F.col(f"row.c{at}")
