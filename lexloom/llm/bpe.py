@@ -30,10 +30,13 @@ read.
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import json
+import pickle
 import re
 import struct
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -189,13 +192,14 @@ def character_classes(tokenizer) -> dict[str, list]:
     import regex
 
     split = tokenizer.pre_tokenizer.pre_tokenize_str
-    all_ = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    blocks = [range(a, a + 128) for a in range(0, 0x110000, 128) if not 0xD800 <= a < 0xE000]
     found = {}
     for name, probe, about in (("L", "a", r"\p{L}"), ("N", "1", r"\p{N}"), ("S", "!", r"\s")):
-        every = regex.findall(about, all_)
         members = []
-        for i in range(0, len(every), 128):
-            part = every[i : i + 128]
+        for block in blocks:
+            part = regex.findall(about, "".join(map(chr, block)))
+            if not part:
+                continue
             # white space is what parts two marks; a letter or digit is what joins two of its kind
             pieces = split("".join(f"{probe}{c}{probe}{'!' if probe != '!' else 'a'}" for c in part))
             whole = {at for _, at in pieces}
@@ -281,7 +285,6 @@ class Codec(dict):
         return b"".join(map(self.labels.__getitem__, at)).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=4)
 def codec_spec(path: str) -> dict:
     """What a worker needs to build the codec of a byte-level BPE file of the tokenizers library. Its size is the vocabulary's."""
     from tokenizers import Tokenizer
@@ -303,6 +306,15 @@ def codec_spec(path: str) -> dict:
     }
 
 
+@functools.lru_cache(maxsize=4)
+def packed_spec(path: str) -> bytes:
+    """The description, packed: the driver and the engine hold a megabyte for it, not the tables."""
+    packed = zlib.compress(pickle.dumps(codec_spec(path)))
+    gc.collect()
+    S.hand_back()
+    return packed
+
+
 _CODECS: dict[int, Codec] = {}
 
 
@@ -310,7 +322,7 @@ def _codec(shared) -> Codec:
     """The worker's codec of a broadcast description, built once."""
     if shared.id not in _CODECS:
         _CODECS.clear()
-        _CODECS[shared.id] = Codec(shared.value)
+        _CODECS[shared.id] = Codec(pickle.loads(zlib.decompress(shared.value)))
     return _CODECS[shared.id]
 
 
@@ -328,7 +340,7 @@ class _Shared:
 
 def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids binary, decoded string) of every text; ids are little-endian unsigned 32-bit integers."""
-    shared = _Shared(docs.sparkSession, codec_spec(path))
+    shared = _Shared(docs.sparkSession, packed_spec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
@@ -343,7 +355,7 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Numbers and checksums of what ``encode_decode`` gives, without sending the texts back."""
-    shared = _Shared(docs.sparkSession, codec_spec(path))
+    shared = _Shared(docs.sparkSession, packed_spec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
