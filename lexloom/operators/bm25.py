@@ -147,6 +147,12 @@ def narrowed(index: DataFrame, wanted: np.ndarray, key: str) -> DataFrame:
     return index.select(key, "len", "grams", "tf").mapInArrow(run, index.select(key, "len", "grams", "tf").schema)
 
 
+def _spread(docs: DataFrame) -> DataFrame:
+    """The texts in as many parts as shuffles have, if they are read in fewer: a short table may be one file's one part. A large one has more, and stays as it is."""
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(width) if docs.rdd.getNumPartitions() < width else docs
+
+
 def bm25_top(docs: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", qkey: str = "item_id", text: str = "text", qtext: str | None = None, heading: str | None = None, heading_weight: int = 2, index: DataFrame | None = None) -> DataFrame:
     """(qkey, key, score, rank) of each query's k best texts by BM25; any shared trigram counts, ties go to the smaller key.
 
@@ -164,7 +170,7 @@ def bm25_top(docs: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", q
     order = np.argsort(which, kind="stable")
     starts = np.searchsorted(which[order], np.arange(len(wanted) + 1))
     columns = {text: 1} | ({heading: heading_weight} if heading else {})
-    rows = durable(indexed(docs, wanted, key, columns) if index is None else narrowed(index, wanted, key))
+    rows = durable(indexed(_spread(docs.select(key, *columns)), wanted, key, columns) if index is None else narrowed(index, wanted, key))
     stats = rows.agg(F.count("*").alias("n"), F.avg("len").alias("mean")).first()
 
     def held_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
