@@ -39,7 +39,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     parts = S.parts_for(edges.count(), PART_ROWS)
     before = None
     while True:
-        edges = S.durable(_stars(_stars(edges, True, parts), False, parts))
+        last, edges = edges, S.durable(_stars(_stars(edges, True, parts), False, parts))
+        S.release(last)
         # sums of hashes of all edges: alike only where the edges are
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if before == now:

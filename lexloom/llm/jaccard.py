@@ -18,12 +18,14 @@ Texts with equal shingle sets form a class; everything below works on classes.
 4. A group doesn't emit its pairs, only a spanning forest of its candidates, so a group of
    m near copies gives m - 1 edges. Large groups are cut into blocks, and each pair of
    blocks is a group.
-5. Verification by exact intersection of the sets: first one edge for each class, then
+5. The classes with an edge are read once more for all their shingles. Verification by exact intersection of the sets: first one edge for each class, then
    those between classes that aren't connected yet. Where a forest edge fails between
    components, its groups are gone through again and all their candidates between
    different components are verified. So no link between different texts that would
    join two components is lost.
 
+Intermediates are deleted when they are done with, and so are the shuffles that made them.
+
 Shingles are 64-bit hashes; a chance collision inside two compared sets is negligible.
 
 Defined cases: null and wordless texts have no shingles and are linked with nothing, not
@@ -34,12 +36,13 @@ its ids are null. Columns other than key and text are not read.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -123,16 +126,23 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.int64)[gaps != 65535]
 
 
-def repeated_levels(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> DataFrame:
+def _buckets(spark: SparkSession, passes: int) -> int:
+    return max(passes << 3, 1 << max(6, (S.shuffle_width(spark) - 1).bit_length()))
+
+
+def repeated_levels(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]], passes: int = 1) -> DataFrame:
     """(bucket, level, n, piece): for each power of 2, a bitmap in pieces of the 64-bit values that occur so often.
 
+    passes: a power of 2; the bitmap has so many times 2 ** BITMAP_BITS bits, and every bucket lies in one of its slices of that size.
+
     values: lists of values of a batch. They are counted by their first 32 bits, packed as
     sorted differences: about two bytes a value are shuffled, to buckets that are even
     whatever the values, and a value that repeats in a task costs no more than its count.
     """
     spark = rows.sparkSession
-    buckets = 1 << max(6, (S.shuffle_width(spark) - 1).bit_length())
-    step, bits = (1 << 32) // buckets, (1 << BITMAP_BITS) // buckets
+    buckets = _buckets(spark, passes)
+    places = BITMAP_BITS + passes.bit_length() - 1
+    step, bits = (1 << 32) // buckets, (1 << places) // buckets
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
@@ -162,7 +172,7 @@ def repeated_levels(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator
             out = []
             for k in np.unique(level[level > 0]).tolist():
                 mine = np.zeros(bits, dtype=bool)
-                mine[all_[kinds[level == k]] >> (32 - BITMAP_BITS)] = True
+                mine[all_[kinds[level == k]] >> (32 - places)] = True
                 out.append((bucket, k, int((level == k).sum()), zlib.compress(np.packbits(mine, bitorder="little").tobytes(), 1)))
             columns = zip(*out) if out else ((), (), (), ())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["bucket", "level", "n", "piece"])
@@ -182,15 +192,19 @@ def repeated_levels(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator
     return S.durable(packed_rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(S.trimmed(by_level), "bucket int, level int, n long, piece binary"))
 
 
-def bitmaps(levels: DataFrame, *least: int) -> np.ndarray:
-    """For each of the levels given, a bitmap of the values that occur 2 ** level times or more."""
+def bitmaps(levels: DataFrame, *least: int, turn: int = 0, passes: int = 1) -> np.ndarray:
+    """For each of the levels given, a bitmap of the values that occur 2 ** level times or more; with passes, the slice of it whose turn it is."""
     out = np.zeros((len(least), 1 << (BITMAP_BITS - 3)), dtype=np.uint8)
-    size = out.shape[1] // (1 << max(6, (S.shuffle_width(levels.sparkSession) - 1).bit_length()))
-    for r in levels.filter(F.col("level") >= min(least)).toLocalIterator():  # a bitmap's size for each level
+    each = _buckets(levels.sparkSession, passes) // passes
+    size = out.shape[1] // each
+    mine = (F.col("bucket") >= turn * each) & (F.col("bucket") < (turn + 1) * each)
+    # a bitmap's size for each level, in four parts: each part is a job of the driver
+    for r in levels.filter(mine & (F.col("level") >= min(least))).coalesce(4).toLocalIterator():
         piece = np.frombuffer(zlib.decompress(r["piece"]), dtype=np.uint8)
+        at = (r["bucket"] - turn * each) * size
         for k, level in enumerate(least):
             if r["level"] >= level:
-                out[k, r["bucket"] * size : (r["bucket"] + 1) * size] |= piece
+                out[k, at : at + size] |= piece
     S.hand_back()
     return out.view(np.uint64)
 
@@ -207,17 +221,24 @@ def popular_shingles(rows: DataFrame, size: int) -> np.ndarray:
     common = 1
     while sum(n for k, n in known.items() if k >= common) > MOST_COMMON:
         common += 1
-    return bitmaps(levels, common, max(POPULAR, common + 1))
+    out = bitmaps(levels, common, max(POPULAR, common + 1))
+    S.release(levels)
+    return out
 
 
-def repeated_tokens(sketched: DataFrame, prefix: str) -> np.ndarray:
-    """A bitmap that holds every token in the prefixes of two rows or more, and some others."""
+def repeated_tokens(sketched: DataFrame, prefix: str, passes: int) -> DataFrame:
+    """Levels whose bitmap holds every token in the prefixes of two rows or more, and some others."""
 
     def of_prefixes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for p in batch.column(0).to_pylist():
             yield np.frombuffer(p, "<u8")
 
-    return bitmaps(repeated_levels(sketched.select(prefix), of_prefixes), 1)[0]
+    return repeated_levels(sketched.select(prefix), of_prefixes, passes)
+
+
+def _passes(tokens: int) -> int:
+    """So many that a bitmap of all tokens, in that many slices, has a bit for each, and most tokens that don't repeat miss it. Tokens are counted by 32 bits, so more slices wouldn't help."""
+    return min(1 << max(0, -(-tokens // (1 << BITMAP_BITS)) - 1).bit_length(), 1 << (32 - BITMAP_BITS))
 
 
 # ---------------------------------------------------------------- sketches
@@ -265,48 +286,67 @@ def sketches(rows: DataFrame, popular, size: int, tenths: int) -> DataFrame:
     return rows.select("doc_id", "text").mapInArrow(S.trimmed(run), "doc_id long, n long, c binary, p1 binary")
 
 
-def whole_sets(rows: DataFrame, wanted: DataFrame, popular, size: int, tenths: int) -> DataFrame:
-    """The classes in ``wanted`` (c, doc_id), one row each, made again from their texts: sizes, parities, the other orders' prefixes, and all shingles."""
+def remade(rows: DataFrame, wanted: DataFrame, popular, size: int, tenths: int, names: list[str]) -> DataFrame:
+    """The classes in ``wanted`` (c, doc_id), one row each, made again from their texts: c and of n (size), sig (parities), p2, p3 (the other orders' prefixes) and s (all shingles) those named."""
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS)
     keep = rows.sparkSession.sparkContext.broadcast(_bits_set(wanted.select(place.alias("pos"))))  # 8 MB, whatever the data
-    others = range(2, ORDERS + 1)
-    names = ["c", "n", "sig", *[f"p{k}" for k in others], "s"]
+    cell = {"c": class_name, "n": len, "sig": parities, "s": lambda s: s.astype("<u8").tobytes()}
+    cell |= {f"p{k}": (lambda s, k=k: prefix(s, popular.value, k, tenths)) for k in range(2, ORDERS + 1)}
+    names = ["c", *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(_has(keep.value, batch.column(1).to_numpy().astype(np.uint64))))
             for _, _, data, offsets in S.slices(batch.column(0)):
                 sets = [s for s in shingles(data, offsets, size) if len(s)]
-                cells = [[class_name(s) for s in sets], [len(s) for s in sets], [parities(s) for s in sets]]
-                cells += [[prefix(s, popular.value, k, tenths) for s in sets] for k in others] + [[s.astype("<u8").tobytes() for s in sets]]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64() if name == "n" else pa.binary()) for name, x in zip(names, cells)], names)
+                yield pa.RecordBatch.from_arrays([pa.array([cell[x](s) for s in sets], pa.int64() if x == "n" else pa.binary()) for x in names], names)
 
     schema = ", ".join(f"{x} {'long' if x == 'n' else 'binary'}" for x in names)
     made = rows.select("text", place.alias("pos")).mapInArrow(S.trimmed(run), schema).dropDuplicates(["c"])
-    return S.stored(made.join(wanted.select("c"), "c", "left_semi"), "jaccard-sets")
+    out = S.stored(made.join(wanted.select("c"), "c", "left_semi"), "jaccard-sets")
+    keep.destroy()
+    return out
 
 
-def _shared_tokens(sketched: DataFrame, prefix: str, sieved: bool = False) -> DataFrame:
-    """(tok, c, k): the prefix tokens that k >= 2 classes have, with these classes.
+def _shared_tokens(sketched: DataFrame, prefix: str, tokens: int) -> DataFrame:
+    """(tok, c, k): the prefix tokens that k >= 2 classes have, with these classes, stored.
 
-    sieved: a bitmap drops most of the other tokens before the shuffle, for a large table.
-    Classes of a token are counted in partial sums, and meet their count in a join whose hot
-    tokens the engine splits.
+    tokens: how many there are. A bitmap drops most tokens that don't repeat before the
+    shuffle; it is gone through in slices, one at a time, and a slice has its tokens to
+    itself. Classes of a token are counted in partial sums, and meet their count in a join
+    whose hot tokens the engine splits.
     """
-    some = sketched.sparkSession.sparkContext.broadcast(repeated_tokens(sketched, prefix)) if sieved else None  # 8 MB, whatever the data
-
-    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 4096):
-                part = batch.slice(i, 4096)
-                lists = [np.frombuffer(x, "<u8") for x in part.column(1).to_pylist()]
-                toks, at = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-                if some is not None:
-                    kept = _has(some.value, _place(toks))
+    spark = sketched.sparkSession
+    passes = _passes(tokens)
+    levels = repeated_tokens(sketched, prefix, passes)
+    out = []
+    for turn in range(passes):
+        some = spark.sparkContext.broadcast(bitmaps(levels, 1, turn=turn, passes=passes)[0])  # 8 MB, whatever the data
+
+        def flat(batches: Iterator[pa.RecordBatch], turn=turn, some=some) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(0, batch.num_rows, 4096):
+                    part = batch.slice(i, 4096)
+                    lists = [np.frombuffer(x, "<u8") for x in part.column(1).to_pylist()]
+                    toks, at = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+                    # the first bits tell the slice, the next ones the place in it
+                    if passes > 1:
+                        mine = (toks >> np.uint64(65 - passes.bit_length())).astype(np.int64) == turn
+                        toks, at = toks[mine], at[mine]
+                    kept = _has(some.value, _place(toks << np.uint64(passes.bit_length() - 1)))
                     toks, at = toks[kept], at[kept]
-                yield pa.RecordBatch.from_arrays([pa.array(toks.view("<i8")), part.column(0).take(pa.array(at))], ["tok", "c"])
+                    yield pa.RecordBatch.from_arrays([pa.array(toks.view("<i8")), part.column(0).take(pa.array(at))], ["tok", "c"])
 
-    return _counted(S.durable(sketched.select("c", prefix).mapInArrow(S.trimmed(flat), "tok long, c binary").distinct(), PART_ROWS))
+        posted = S.stored(sketched.select("c", prefix).mapInArrow(S.trimmed(flat), "tok long, c binary").distinct(), "jaccard-tokens")
+        out.append(S.stored(_counted(posted), "jaccard-shared"))
+        S.release(posted)
+        some.destroy()
+    S.release(levels)
+    if passes == 1:
+        return out[0]
+    whole = S.stored(functools.reduce(DataFrame.unionByName, out), "jaccard-shared")
+    S.release(*out)
+    return whole
 
 
 def _counted(posted: DataFrame) -> DataFrame:
@@ -465,15 +505,22 @@ def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 def class_links(rows: DataFrame, sketched: DataFrame, popular, size: int, tenths: int, parities: bool = True) -> DataFrame:
     """(u, v): links between classes that connect whatever any links connect."""
-    posted = S.durable(_shared_tokens(sketched, "p1", sieved=True), PART_ROWS)
-    wanted = sketched.groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(posted.select("c").distinct(), "c", "left_semi")
-    live = whole_sets(rows, S.durable(wanted, PART_ROWS), popular, size, tenths)
+    length = F.col("n") - F.ceil(F.col("n") * tenths / 10) + 1
+    number = lambda of: of.agg(F.coalesce(F.sum(length), F.lit(0))).first()[0]
+    posted = _shared_tokens(sketched, "p1", number(sketched))
+    wanted = S.durable(sketched.groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(posted.select("c").distinct(), "c", "left_semi"), PART_ROWS)
+    # all shingles only of those that get an edge, later: they take most of the room
+    live = remade(rows, wanted, popular, size, tenths, ["n", "sig", *[f"p{k}" for k in range(2, ORDERS + 1)]])
     alive = live.select("c")
     for k in range(2, ORDERS + 1):
-        shared = _shared_tokens(live.select("c", f"p{k}").join(alive, "c", "left_semi"), f"p{k}")
+        some = live.select("c", "n", f"p{k}").join(alive, "c", "left_semi")
+        shared = _shared_tokens(some, f"p{k}", number(some))
         alive = S.durable(shared.select("c").distinct(), PART_ROWS)
+        S.release(shared)
     left = S.durable(posted.select("tok", "c").join(alive, "c", "left_semi"), PART_ROWS)
+    S.release(posted)
     blocks = S.durable(_blocks(_counted(left)), PART_ROWS)
+    S.release(left)
     payload = live.select("c", "n", "sig")
 
     def groups(of: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -485,18 +532,25 @@ def class_links(rows: DataFrame, sketched: DataFrame, popular, size: int, tenths
     edges = S.durable(emitted.select("u", "v").distinct(), PART_ROWS)
     # one edge for each class first; most others then lie inside a component
     first = S.durable(edges.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), PART_ROWS)
-    checked = _verify(first, live, tenths)
+    # whatever may be linked has an edge in the forest of its group
+    ends = edges.select(F.explode(F.array("u", "v")).alias("c")).distinct()
+    ended = S.durable(wanted.join(ends, "c", "left_semi"), PART_ROWS)
+    sets = remade(rows, ended, popular, size, tenths, [*[f"p{k}" for k in range(2, ORDERS + 1)], "s"])
+    S.release(wanted, ended)
+    checked = _verify(first, sets, tenths)
     labels = connected_components(checked.filter("linked").select("u", "v"))
     more = S.durable(_between(edges.join(checked, ["u", "v"], "left_anti"), labels), PART_ROWS)
     if not more.isEmpty():
-        checked = checked.unionByName(_verify(more, live, tenths))
+        checked = checked.unionByName(_verify(more, sets, tenths))
         labels = connected_components(checked.filter("linked").select("u", "v"))
     failed = S.durable(_between(checked.filter(~F.col("linked")).select("u", "v"), labels), PART_ROWS)
     if not failed.isEmpty():
         again = emitted.join(failed, ["u", "v"], "left_semi").select("tok", "b").distinct()
         across = _group_edges(groups(blocks.join(again, ["tok", "b"], "left_semi"), labels), _across, tenths, parities).select("u", "v").distinct()
-        checked = checked.unionByName(_verify(S.durable(across.join(checked, ["u", "v"], "left_anti"), PART_ROWS), live, tenths))
-    return checked.filter("linked").select("u", "v")
+        checked = checked.unionByName(_verify(S.durable(across.join(checked, ["u", "v"], "left_anti"), PART_ROWS), sets, tenths))
+    out = S.durable(checked.filter("linked").select("u", "v"), PART_ROWS)
+    S.release(live, sets, alive, blocks, emitted, edges, first, more, failed)
+    return out
 
 
 def with_class(docs: DataFrame, name: str, text: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -521,8 +575,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     popular = docs.sparkSession.sparkContext.broadcast(popular_shingles(rows, size))  # 16 MB, whatever the data
     sketched = S.stored(sketches(rows, popular, size, tenths), "jaccard-sketches")
     links = class_links(rows, sketched.filter("c is not null"), popular, size, tenths, parities)
+    popular.destroy()
+    narrow = S.stored(sketched.select("doc_id", "n", "c"), "jaccard-classes")
+    S.release(sketched)
     labels = connected_components(links)
-    narrow = sketched.select("doc_id", "n", "c")
     classes = narrow.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("class_id"))
     linked = classes.join(labels.withColumnRenamed("node", "c"), "c")
     least = linked.groupBy("root").agg(F.min("class_id").alias("least"))

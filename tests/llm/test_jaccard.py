@@ -1,9 +1,12 @@
+import glob
 import random
 import re
+import time
 
 import numpy as np
 
 from lexloom.llm import jaccard
+from lexloom.llm import shared as S
 from lexloom.llm.components import connected_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -118,3 +121,35 @@ def test_components_of_a_long_path(spark):
 
 def test_empty_table(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_sieve_in_slices(spark, monkeypatch):
+    assert [jaccard._passes(n) for n in (0, 1 << 26, (1 << 26) + 1, 204_000_000, 1 << 40)] == [1, 1, 2, 4, 64]
+    monkeypatch.setattr(jaccard, "_passes", lambda tokens: 4)
+    rows = corpus(6)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
+
+
+def test_what_is_done_with_leaves_the_disk(spark):
+    shared = S.shared_dir(spark).removeprefix("file:")
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    local = [d.getPath() for d in env.blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f for d in local for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+
+    def stored():
+        return set(glob.glob(f"{shared}/jaccard-*")) | set(glob.glob(f"{shared}/*/rdd-*"))
+
+    before = shuffled()
+    few = S.durable(spark.range(1000).repartition(5, "id"))
+    till = time.time() + 20
+    while shuffled() - before and time.time() < till:
+        time.sleep(0.2)
+    assert not shuffled() - before and few.count() == 1000
+    before = stored()
+    got = jaccard.jaccard_components(spark.createDataFrame(corpus(7), "doc_id long, text string"))
+    kept = [f for f in stored() - before if "/jaccard-" in f]
+    assert len(kept) == 1 and "/jaccard-classes-" in kept[0]  # no sets, no tokens, no sketches
+    assert got.count() == len(corpus(7))
