@@ -1,17 +1,19 @@
 """License scans by conditional compression.
 
-Lines that speak of licensing, with the lines around them that use license wording, are
-candidate blocks; lines without a letter or digit don't part them. Every template whose
-wording can be there is confirmed by exact wording differences, wherever it stands in a
-text that has a block or a template's hint, over line ends and any number of times: a
-short notice if all of its words stand there one after another, a long text if nearly all
-of its words do in order, within WITHIN times its length, with no number of it changed.
-What is missing or added is reported.
-
-Where confirmed wordings share words, they are ranked by conditional compression: the
-words are compressed with zstandard once alone and once with the template as a raw
-dictionary, and the template that saves most stands, less the bytes of its words that are
-missing.
+1. Candidate blocks: lines that speak of licensing, with the lines around them that use
+   license wording; lines without a letter or digit don't part them. Only words around what
+   speaks of licensing in a block go on, as far to each side as the longest license may
+   reach, so a long line is cut and wording over line ends isn't.
+2. Ranking: where a template can stand (around its rarest word for a window of its length,
+   and wherever enough of its words are for a changed long one) the words are compressed
+   with zstandard once alone and once with the template as a raw dictionary. Windows that
+   get no smaller go; the others are taken in order of the bytes saved. A window has the
+   template's size, so a long line around it hides nothing, and their number isn't limited.
+3. Confirmation by exact wording differences, over line ends and any number of times: a
+   short notice if all of its words stand there one after another, a long text if nearly all
+   of its words do in order, within WITHIN times its length, with no number of it changed.
+   What is missing or added is reported. Where confirmed wordings share words, the one that
+   saves most stands, less the bytes of its words that are missing.
 
 Every text is scanned alone and whole; there is no shuffle.
 
@@ -24,9 +26,9 @@ key and text are not read.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -209,6 +211,7 @@ TEMPLATES = {
 }
 
 _WORD = re.compile(r"\S+")
+_TRIGGER = re.compile("|".join(map(re.escape, TRIGGERS)), re.IGNORECASE)
 _AROUND = "\"'`.,;:()[]{}<>*#!?$%&|/\\-"
 
 
@@ -222,11 +225,12 @@ class Template:
 
     def __init__(self, name: str, text: str):
         self.name, self.words = name, wording(text)
-        self.n, self.joined, self.long = len(self.words), f" {' '.join(self.words)} ", len(self.words) > NOTICE_WORDS
+        self.n, self.long = len(self.words), len(self.words) > NOTICE_WORDS
         shared = zstandard.ZstdCompressionDict(" ".join(self.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_content_size=False)
         self.least = next(k for k in range(self.n + 1) if k / self.n >= LEAST_COVER)
         self.counts, self.bits, self.back = Counter(self.words), {}, {}
+        self.offsets = {w: [i for i, x in enumerate(self.words) if x == w] for w in self.counts}
         for i, w in enumerate(self.words):
             self.bits[w] = self.bits.get(w, 0) | 1 << i
             self.back[w] = self.back.get(w, 0) | 1 << (self.n - 1 - i)
@@ -269,6 +273,8 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.templates = [Template(name, text) for name, texts in TEMPLATES.items() for text in texts]
         self.vocabulary = {w for t in self.templates if t.long for w in t.words}
+        self.said = {w for t in self.templates for w in t.words}
+        self.reach = WITHIN * max(t.n for t in self.templates)
 
     def blocks(self, text: str) -> Iterator[tuple[int, int]]:
         """Spans of the candidate blocks: lines with a trigger, and license wording next to them or past lines without words."""
@@ -297,7 +303,34 @@ class Scanner:
         words = wording(line)
         return bool(words) and sum(w in self.vocabulary for w in words) >= 0.8 * len(words)
 
-    def saved(self, words: list[str], template: Template) -> tuple[int, float]:
+    def candidates(self, text: str, blocks: list[tuple[int, int]], spans: list[tuple[int, int]]) -> list[list[int]]:
+        """[first word, end] of what a license of a block can lie in, from left to right, no two with common words; spans: of the words in the text."""
+        starts, out = [a for a, _ in spans], []
+        for begin, end in blocks:
+            for m in _TRIGGER.finditer(text, begin, end):
+                first, last = bisect_right(starts, m.start()) - 1, bisect_right(starts, m.end() - 1)
+                first, last = max(0, first - self.reach), min(len(spans), last + self.reach)
+                if out and first <= out[-1][1]:
+                    out[-1][1] = max(last, out[-1][1])
+                else:
+                    out.append([first, last])
+        return out
+
+    def ranked(self, words: list[str], template: Template, where: dict[str, list[int]]) -> list[tuple[tuple[int, float], int]]:
+        """((bytes, share) saved, first word) of the windows that can be a template, the one that saves most first; where: places of the words."""
+        rare = min(template.offsets, key=lambda w: len(where.get(w, ())))
+        known: dict[tuple[str, ...], tuple[int, float]] = {}
+        out = []
+        for start in sorted({i - k for i in where.get(rare, ()) for k in template.offsets[rare]}):
+            if 0 <= start <= len(words) - template.n:
+                window = tuple(words[start : start + template.n])
+                if window not in known:
+                    known[window] = self.saved(window, template)
+                if known[window][0] > 0:
+                    out.append((known[window], start))
+        return sorted(out, key=lambda x: (-x[0][0], x[1]))
+
+    def saved(self, words: Sequence[str], template: Template) -> tuple[int, float]:
         """Bytes, and the share, by which the words get smaller with the template."""
         data = " ".join(words).encode()
         alone, shared = len(self.plain.compress(data)), len(template.compressor.compress(data))
@@ -325,6 +358,8 @@ class Scanner:
         for left in range(0, len(words), width):
             right = left + 2 * width
             at = known[bisect_left(known, max(left, done)) : bisect_left(known, right)]
+            if (Counter(words[i] for i in at) & template.counts).total() < template.least or self.saved([words[i] for i in at], template)[0] <= 0:
+                continue
             while (Counter(words[i] for i in at) & template.counts).total() >= template.least:
                 stop = next((i for i, k in in_order(words, at, template.bits, template.n) if k >= template.least), None)
                 if stop is None:
@@ -348,22 +383,18 @@ class Scanner:
 
     def scan_words(self, words: list[str]) -> list[tuple[str, float, int, int, list[str], list[str]]]:
         """(license, gain, first word, end, missing words, added words) of every license the words state."""
-        joined, starts = f" {' '.join(words)} ", None
+        where: dict[str, list[int]] = {}
+        for i, w in enumerate(words):
+            if w in self.said:
+                where.setdefault(w, []).append(i)
         claims = []
         for number, template in enumerate(self.templates):
             places, rest = [], words
-            at = joined.find(template.joined)
-            while at >= 0:
-                if starts is None:
-                    starts, n = [], 0
-                    for w in words:
-                        starts.append(n)
-                        n += len(w) + 1
-                places.append(bisect_left(starts, at))
-                at = joined.find(template.joined, at + len(template.joined) - 1)
-            if places:
-                size = self.saved(template.words, template)
-                claims += [(size, number, list(range(p, p + template.n)), [], []) for p in places]
+            for size, start in self.ranked(words, template, where):
+                # windows of the same words save the same, so they come from left to right
+                if words[start : start + template.n] == template.words and (not places or start >= places[-1] + template.n):
+                    places.append(start)
+                    claims.append((size, number, list(range(start, start + template.n)), [], []))
             if template.long:
                 if places:
                     rest = list(words)
@@ -382,9 +413,14 @@ class Scanner:
         lower = text.lower()
         if not any(h in lower for h in HINTS):
             return sum(1 for _ in self.blocks(text)), []
-        spans = [m.span() for m in _WORD.finditer(text) if m.group().strip(_AROUND)]
-        found = self.scan_words([text[a:b].strip(_AROUND).lower() for a, b in spans])
-        return sum(1 for _ in self.blocks(text)), [(name, gain, spans[s][0], spans[e - 1][1], missing, added) for name, gain, s, e, missing, added in found]
+        blocks = list(self.blocks(text))
+        spans = [m.span() for m in _WORD.finditer(text) if m.group().strip(_AROUND)] if blocks else []
+        words = [text[a:b].strip(_AROUND).lower() for a, b in spans]
+        found = []
+        for first, end in self.candidates(text, blocks, spans):
+            for name, gain, s, e, missing, added in self.scan_words(words[first:end]):
+                found.append((name, gain, spans[first + s][0], spans[first + e - 1][1], missing, added))
+        return len(blocks), found
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

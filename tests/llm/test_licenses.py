@@ -163,3 +163,20 @@ def test_many_repeats_take_little_time():
     assert len(scanner.scan("Released under the MIT License. " * 8000)[1]) == 8000
     assert scanner.scan("license " * 20_000)[1] == []
     assert time.process_time() - began < 4
+
+
+def test_blocks_are_cut_then_ranked_then_confirmed(monkeypatch):
+    mit, far = "Released under the MIT License.", " ".join(prose(20_000, 5))
+    scanner, seen = Scanner(), []
+    monkeypatch.setattr(scanner, "scan_words", lambda words: seen.append(len(words)) or Scanner.scan_words(scanner, words))
+    n, found = scanner.scan(f"{far} {mit} {far} {mit} {far}")
+    assert n == 1 and [f[0] for f in found] == ["MIT", "MIT"]
+    assert len(seen) == 2 and all(k <= 2 * scanner.reach + 5 for k in seen)  # not the whole line
+    text = "\n".join(t for texts in TEMPLATES.values() for t in texts)
+    assert Scanner().scan(text)[1]
+    ranking = Scanner()
+    monkeypatch.setattr(ranking, "saved", lambda words, template: (0, 0.0))
+    assert ranking.scan(text)[1] == []  # what compression doesn't rank isn't confirmed
+    cutting = Scanner()
+    monkeypatch.setattr(cutting, "blocks", lambda text: iter(()))
+    assert cutting.scan(text) == (0, [])
