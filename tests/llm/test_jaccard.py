@@ -2,8 +2,10 @@ import glob
 import random
 import re
 import time
+from pathlib import Path
 
 import numpy as np
+import pytest
 
 from lexloom.llm import jaccard
 from lexloom.llm import shared as S
@@ -153,3 +155,25 @@ def test_what_is_done_with_leaves_the_disk(spark):
     kept = [f for f in stored() - before if "/jaccard-" in f]
     assert len(kept) == 1 and "/jaccard-classes-" in kept[0]  # no sets, no tokens, no sketches
     assert got.count() == len(corpus(7))
+
+
+def test_what_the_engine_freed_is_handed_back(spark):
+    jvm = spark._jvm
+    status = Path(f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/status")
+    if not status.exists():
+        pytest.skip("the engine's memory can't be read here")
+
+    def resident():
+        return int(re.search(r"RssAnon:\s+(\d+) kB", status.read_text())[1]) / 1024
+
+    S.durable(spark.range(10))
+    made = [jvm.java.util.zip.Deflater() for _ in range(1500)]  # each touches some 90 KB of native memory
+    for i, one in enumerate(made):
+        if i % 20:
+            one.end()
+    kept = resident()  # the allocator keeps what lies between those that are left
+    S.durable(spark.range(10))
+    left = resident()
+    for one in made[::20]:
+        one.end()
+    assert kept - left > 50
