@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.tables import durable
+from lexloom.tables import FEW_ROWS, durable, stored
 
 
 def weighted_pairs(edges: DataFrame, src: str = "src", tgt: str = "tgt") -> DataFrame:
@@ -74,25 +74,45 @@ def expand_scores(hits: DataFrame, links: DataFrame, weight: float, key: str = "
     return hits.select(*by, key, score).unionByName(passed).groupBy(*by, key).agg(F.sum(score).alias(score))
 
 
-def depths(nodes: DataFrame) -> DataFrame:
-    """(id, depth) of every node below a root (null parent): the least number of steps to one.
+def _walked(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(inner nodes' rows, inner nodes with their depth, leaves' rows), rows as (id, parent_id).
+
+    Only inner nodes are walked: those that are someone's parent or a root, or have several
+    rows. All others have one row and nobody below, so that their parent tells their depth;
+    of most trees they are most nodes. Rows are shuffled once, by id, to tell the two apart.
 
     Level by level until one is empty. A level is written, so the next one's plan holds only
     it; a node seen before isn't taken again, so a cycle comes to an end.
     """
-    level = durable(nodes.filter(F.col("parent_id").isNull()).select("id").distinct())
-    children, out, depth = nodes.filter(F.col("parent_id").isNotNull()).select("id", "parent_id"), None, 0
-    while not level.isEmpty():
+    rows = nodes.select("id", "parent_id")
+    parents = rows.filter(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("id"), F.lit(True).alias("above")).distinct()
+    each = rows.repartition("id").withColumn("several", F.count("*").over(Window.partitionBy("id")) > 1).join(parents, "id", "left")
+    told = stored(each.select("id", "parent_id", (F.col("several") | F.col("above").isNotNull() | F.col("parent_id").isNull()).alias("inner")))
+    inner, leaves = durable(told.filter("inner").select("id", "parent_id")), told.filter("not inner").select("id", "parent_id")
+    level = durable(inner.filter(F.col("parent_id").isNull()).select("id").distinct())
+    children, out, depth, size = inner.filter(F.col("parent_id").isNotNull()), None, 0, level.count()
+    while size:
         here = level.withColumn("depth", F.lit(depth).cast("long"))
         out, depth = here if out is None else out.unionByName(here), depth + 1
-        below = children.join(level.select(F.col("id").alias("parent_id")), "parent_id").select("id").distinct()
+        above = level.select(F.col("id").alias("parent_id"))
+        below = children.join(F.broadcast(above) if size <= FEW_ROWS else above, "parent_id").select("id").distinct()
         level = durable(below.join(out.select("id"), "id", "left_anti"))
-    return out if out is not None else level.withColumn("depth", F.lit(0).cast("long"))
+        size = level.count()
+    return inner, out if out is not None else level.withColumn("depth", F.lit(0).cast("long")), leaves
+
+
+def depths(nodes: DataFrame) -> DataFrame:
+    """(id, depth) of every node below a root (null parent): the least number of steps to one."""
+    _, seen, leaves = _walked(nodes)
+    below = leaves.join(seen.select(F.col("id").alias("parent_id"), (F.col("depth") + 1).alias("depth")), "parent_id")
+    return seen.unionByName(below.select("id", "depth"))
 
 
 def unreachable(nodes: DataFrame) -> DataFrame:
     """Nodes below no root: orphans' subtrees and cycles."""
-    return nodes.select("id").join(depths(nodes).select("id"), "id", "left_anti")
+    inner, seen, leaves = _walked(nodes)
+    reached = seen.select("id")
+    return inner.join(reached, "id", "left_anti").select("id").unionByName(leaves.join(reached.withColumnRenamed("id", "parent_id"), "parent_id", "left_anti").select("id"))
 
 
 def descendants(nodes: DataFrame, root: Column | str, sep: str = "_") -> DataFrame:
